@@ -195,8 +195,7 @@ def drip_equals_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through Structured Streaming, once over everything that landed."""
     ingest = new_ingest(spark, sf_dir)
-    schema = _read(spark, sf_dir, "orders").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    source = spark.readStream.schema(adapters.SCHEMAS["orders"]).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
     query = ingest.stream(adapters.landing_orders(source), f"{ingest.store.root}/stream-state")
     query.awaitTermination()
     return portable(_loaded_counts(ingest))

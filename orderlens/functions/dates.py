@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * F.lit(10000) + F.month(day) * F.lit(100) + F.dayofmonth(day)
 
 
 def month_start(day: Column) -> Column:
@@ -19,7 +19,7 @@ def month_label(day: Column) -> Column:
 
 
 def month_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMM").cast("int")
+    return F.year(day) * F.lit(100) + F.month(day)
 
 
 def month_number(day: Column) -> Column:
@@ -32,4 +32,4 @@ def hours_between(start: Column, end: Column) -> Column:
     micros = F.timestamp_diff("MICROSECOND", start, end)
     hour = 3_600_000_000
     size = F.call_function("div", F.abs(micros) * F.lit(200) + F.lit(hour), F.lit(2 * hour))
-    return (F.signum(micros).cast("int") * size).cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")
+    return (F.signum(micros).cast("int") * size).cast("decimal(14,0)") * F.lit(0.01).cast("decimal(3,2)")

@@ -8,29 +8,56 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _unscaled(value: Column, kind: str) -> Column:
-    return (value.cast("decimal(30,2)") * F.lit(100)).cast(kind)
+# Amounts below this take 64-bit arithmetic; larger ones 38-digit decimals.
+_SMALL = 10**9
+_WIDE = "decimal(38,0)"
 
 
-def _rounded_quotient(num: Column, den: Column, digits: int) -> Column:
-    size = F.call_function(
-        "div", F.abs(num) * F.lit(2 * 10**digits) + F.abs(den), F.abs(den) * F.lit(2)
-    )
-    signed = F.when((num < 0) != (den < 0), -size).otherwise(size)
-    unit = F.lit(Decimal(1).scaleb(-digits))
-    return F.when(den != 0, (signed.cast("decimal(18,0)") * unit).cast(f"decimal(18,{digits})"))
+def _cents(value: Column) -> Column:
+    """A small amount in cents. decimal(14,2) times 100 still fits 18 digits."""
+    return (value.cast("decimal(14,2)") * F.lit(100)).cast("bigint")
+
+
+def _wide_cents(value: Column) -> Column:
+    return (value.cast("decimal(30,2)") * F.lit(100)).cast(_WIDE)
+
+
+def _scaled(units: Column, digits: int) -> Column:
+    """Integer units of 10**-digits as decimal(18, digits)."""
+    unit, fits = F.lit(Decimal(1).scaleb(-digits)), 17 - digits
+    short = units.cast(f"decimal({fits},0)") * unit
+    long = units.cast("decimal(18,0)") * unit
+    kind = f"decimal(18,{digits})"
+    return F.when(F.abs(units) < 10**fits, short.cast(kind)).otherwise(long.cast(kind))
+
+
+def _rounded_quotient(num: Column, den: Column, scale: int) -> Column:
+    """round(num * scale / den) on integers, half away from zero."""
+    size = F.call_function("div", F.abs(num) * F.lit(2 * scale) + F.abs(den), F.abs(den) * F.lit(2))
+    return F.when((num < 0) != (den < 0), -size).otherwise(size)
+
+
+def _small(*values: Column) -> Column:
+    condition = F.abs(values[0]) < _SMALL
+    for value in values[1:]:
+        condition = condition & (F.abs(value) < _SMALL)
+    return condition
 
 
 def exact_ratio(num: Column, den: Column, digits: int) -> Column:
     """round(num / den, digits) for amounts or counts; NULL when den is zero."""
-    wide = "decimal(38,0)"
-    return _rounded_quotient(_unscaled(num, wide), _unscaled(den, wide), digits)
+    if digits > 4:
+        raise ValueError("at most four digits")
+    small = _rounded_quotient(_cents(num), _cents(den), 10**digits)
+    large = _rounded_quotient(_wide_cents(num), _wide_cents(den), 10**digits)
+    units = F.when(_small(num, den), small).otherwise(large)
+    return F.when(den != 0, _scaled(units, digits))
 
 
 def row_ratio(num: Column, den: Column, digits: int) -> Column:
-    """`exact_ratio` for single decimal(12,2) amounts: 64-bit arithmetic only."""
+    """`exact_ratio` for single decimal(12,2) amounts, which always fit 64 bits."""
     cents = [(amount * F.lit(100)).cast("bigint") for amount in (num, den)]
-    return _rounded_quotient(*cents, digits)
+    return F.when(den != 0, _scaled(_rounded_quotient(*cents, 10**digits), digits))
 
 
 def pct(num: Column, den: Column, digits: int) -> Column:
@@ -39,10 +66,12 @@ def pct(num: Column, den: Column, digits: int) -> Column:
 
 def exact_share(amount: Column, part: Column, whole: Column) -> Column:
     """round(amount * part / whole, 2) for money."""
-    wide = "decimal(38,0)"
-    cents = _unscaled(amount, wide) * _unscaled(part, wide)
-    hundredth = _unscaled(whole, wide) * F.lit(100)
-    return _rounded_quotient(cents.cast(wide), hundredth.cast(wide), 2)
+    limit = 10**7  # keeps the product of two amounts in cents within 64 bits
+    fits = (F.abs(amount) < limit) & (F.abs(part) < limit) & (F.abs(whole) < _SMALL)
+    small = _rounded_quotient(_cents(amount) * _cents(part), _cents(whole), 1)
+    product = (_wide_cents(amount) * _wide_cents(part)).cast(_WIDE)
+    large = _rounded_quotient(product, _wide_cents(whole), 1)
+    return F.when(whole != 0, _scaled(F.when(fits, small).otherwise(large), 2))
 
 
 def plain_ratio(num: Column, den: Column) -> Column:

@@ -19,8 +19,8 @@ def smallest_mode(df: DataFrame, group: str, value: str) -> DataFrame:
     return counted.groupBy(group).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(value))
 
 
-def grouped_median(df: DataFrame, group: str, value: str, hot: Sequence = ()) -> DataFrame:
-    """(group, value): the interpolated median.
+def middle_values(df: DataFrame, group: str, value: str, hot: Sequence = ()) -> DataFrame:
+    """(group, low, high): the one or two middle values, whose mean is the median.
 
     Values are counted per group first. A hot group is then cumulated by the
     range-partitioned order instead of by one task.
@@ -48,6 +48,10 @@ def grouped_median(df: DataFrame, group: str, value: str, hot: Sequence = ()) ->
     upper = F.call_function("div", F.col("_all"), F.lit(2))
     near = upto.join(sizes, group).filter((first <= upper) & (lower < F.col("_upto")))
     # At most two values per group are left.
-    return near.groupBy(group).agg(
-        ((F.min(value) + F.max(value)) / F.lit(2)).alias(value)
-    )
+    return near.groupBy(group).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+
+
+def grouped_median(df: DataFrame, group: str, value: str, hot: Sequence = ()) -> DataFrame:
+    """(group, value): the interpolated median, as a decimal."""
+    middle = (F.col("low") + F.col("high")) / F.lit(2)
+    return middle_values(df, group, value, hot).select(group, middle.alias(value))

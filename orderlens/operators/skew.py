@@ -21,8 +21,8 @@ from orderlens.operators.ordering import global_order
 class SkewPolicy:
     """A key is hot when it holds `share` of all rows and at least `min_rows`."""
 
-    share: float = 0.002
-    min_rows: int = 2_000_000
+    share: float = 0.0005
+    min_rows: int = 1_000_000
     tracked: int = 10_000
     salts: int = 64
 

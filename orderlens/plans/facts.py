@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderlens.functions import bands
 from orderlens.functions.dates import date_key
@@ -33,20 +34,39 @@ def order_sequence(with_customer: DataFrame, hot_people: Sequence = ()) -> DataF
 
 
 def item_rollup(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("items_in_order"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        F.count_distinct("seller_id").alias("distinct_sellers"),
-        F.sum("price").alias("order_revenue"),
-        F.sum("freight_value").alias("order_freight"),
-        F.sum("item_total").alias("order_total"),
+    """One row per order.
+
+    Two distinct counts in one grouping would triple the rows. Instead the first
+    row of every product and of every seller in an order is flagged; on co-located
+    items that takes sorts but no shuffle.
+    """
+    baskets = items.groupBy("order_id", "product_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("price").alias("_price"),
+        F.sum("freight_value").alias("_freight"),
+        F.sum("item_total").alias("_total"),
     )
 
+    def new(column: str, other: str):
+        seen = Window.partitionBy("order_id", column).orderBy(other)
+        named = F.col(column).isNotNull()
+        return (named & (F.row_number().over(seen) == 1)).cast("bigint")
 
-def order_context(
-    sequenced: DataFrame, rollup: DataFrame, payments: DataFrame, reviews: DataFrame
-) -> DataFrame:
-    """Everything known per order. All four inputs are unique on order_id."""
+    flagged = baskets.withColumn("_product", new("product_id", "seller_id")).withColumn(
+        "_seller", new("seller_id", "product_id")
+    )
+    return flagged.groupBy("order_id").agg(
+        F.sum("_n").alias("items_in_order"),
+        F.sum("_product").alias("distinct_products"),
+        F.sum("_seller").alias("distinct_sellers"),
+        F.sum("_price").cast("decimal(22,2)").alias("order_revenue"),
+        F.sum("_freight").cast("decimal(22,2)").alias("order_freight"),
+        F.sum("_total").cast("decimal(22,2)").alias("order_total"),
+    )
+
+
+def order_context(sequenced: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """What is known per order apart from its items. All inputs are unique on order_id."""
     paid = payments.select(
         "order_id",
         "payment_total",
@@ -57,8 +77,7 @@ def order_context(
     reviewed = reviews.select("order_id", "review_score", "review_band", "has_comment", "comment_length")
     first = F.col("order_seq") == 1
     return (
-        sequenced.join(rollup, "order_id", "left")
-        .join(paid, "order_id", "left")
+        sequenced.join(paid, "order_id", "left")
         .join(reviewed, "order_id", "left")
         .withColumns(
             {
@@ -74,7 +93,9 @@ def order_context(
     )
 
 
-def fact_orders(context: DataFrame) -> DataFrame:
+def fact_orders(context: DataFrame, rollup: DataFrame) -> DataFrame:
+    """One row per order; orders without items get zeros."""
+
     def money(name: str):
         return F.coalesce(name, F.lit(0).cast("decimal(1,0)")).cast("decimal(22,2)")
 
@@ -82,7 +103,7 @@ def fact_orders(context: DataFrame) -> DataFrame:
         return F.coalesce(name, F.lit(0)).alias(name)
 
     gap = money("payment_total") - money("order_total")
-    return context.select(
+    return context.join(rollup, "order_id", "left").select(
         "order_id",
         "customer_unique_id",
         "customer_id",
@@ -132,10 +153,8 @@ _ORDER_COLUMNS = (
     "order_status",
     "is_delivered",
     "is_valid_sale",
-    "items_in_order",
     "order_seq",
     "is_first_order",
-    "order_total",
     "payment_total",
     "installments",
     "review_score",
@@ -143,15 +162,39 @@ _ORDER_COLUMNS = (
 )
 
 
+def _with_order_totals(items: DataFrame, hot_orders: Sequence) -> DataFrame:
+    """Items next to their order's total and item count.
+
+    Without hot orders a window on the co-located items does it in place. A hot
+    order is summed on the map side and joined back to its salted rows.
+    """
+    total = F.sum("item_total").cast("decimal(22,2)")
+    if not hot_orders:
+        order = Window.partitionBy("order_id")
+        return items.withColumns(
+            {
+                "order_total": F.sum("item_total").over(order).cast("decimal(22,2)"),
+                "items_in_order": F.count(F.lit(1)).over(order),
+            }
+        )
+    sums = items.groupBy("order_id").agg(
+        total.alias("order_total"), F.count(F.lit(1)).alias("items_in_order")
+    )
+    return lookup_join(items, sums, "order_id", "inner", hot_orders, _ITEM_SPREAD)
+
+
+_ITEM_SPREAD = ("order_item_id", "product_id", "seller_id")
+
+
 def fact_sales(items: DataFrame, context: DataFrame, hot_orders: Sequence = ()) -> DataFrame:
     """One row per order item, with the order's payment allocated by share of its total."""
     joined = lookup_join(
-        items,
+        _with_order_totals(items, hot_orders),
         context.select(*_ORDER_COLUMNS),
         "order_id",
         "inner",
         hot_orders,
-        spread=["order_item_id", "product_id", "seller_id"],
+        _ITEM_SPREAD,
     )
     paid = F.coalesce("payment_total", "order_total")
     return joined.select(

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators.skew import SkewPolicy, colocate, hot_keys, lookup_join
 from orderlens.plans import analytics, bi, dimensions, facts, staging
@@ -16,27 +15,39 @@ from orderlens.sources.tables import TableStore
 PERSON_TABLES = ("mv_dim_customer", "mv_rfm", "mv_customer_ltv")
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """Typed tables, unique on their keys, plus the reference tables."""
-
-    orders: DataFrame
-    customers: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    category_translation: DataFrame
-    geolocation: DataFrame
-    states: DataFrame
-    category_groups: DataFrame
-    payment_types: DataFrame
-    country: str = "Brazil"
-    # Cheaper frames with the same keys, for looking for hot ones.
-    key_scans: Mapping[str, DataFrame] = field(default_factory=dict)
-    # Text orders that fix the calendar's bounds while raw orders still grow.
-    calendar: DataFrame | None = None
+    """Typed tables, unique on their keys, plus the reference tables.
+
+    Names: orders, customers, order_items, order_payments, order_reviews, products,
+    sellers, category_translation, geolocation, states, category_groups and
+    payment_types. Each is a DataFrame, or a function that makes one when it is
+    first asked for. `key_scans` holds cheaper frames with the same keys, for
+    looking for hot ones; `calendar` fixes the calendar's bounds while raw orders
+    still grow.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        country: str = "Brazil",
+        key_scans: Mapping[str, Callable[[], DataFrame]] | None = None,
+        calendar: DataFrame | None = None,
+        **tables: DataFrame | Callable[[], DataFrame],
+    ):
+        self.spark = spark
+        self.country = country
+        self.key_scans = dict(key_scans or {})
+        self.calendar = calendar
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        tables = self.__dict__.get("_tables", {})
+        if name not in tables:
+            raise AttributeError(name)
+        made = tables[name]
+        value = made if isinstance(made, DataFrame) else made()
+        self.__dict__[name] = value
+        return value
 
 
 class Mart:
@@ -56,17 +67,19 @@ class Mart:
         self.store = store
         self.skew = skew
         self.legacy_fanout = legacy_fanout
-        self.spark = raw.orders.sparkSession
+        self.spark = raw.spark
 
     # -- hot keys ----------------------------------------------------------------
     @cached_property
     def _hot_item_keys(self) -> dict[str, list]:
-        scan = self.raw.key_scans.get("order_items", self.raw.order_items)
+        scans = self.raw.key_scans
+        scan = scans["order_items"]() if "order_items" in scans else self.raw.order_items
         return hot_keys(scan, ["order_id", "product_id", "seller_id"], self.skew)
 
     @cached_property
     def _hot_people(self) -> list:
-        scan = self.raw.key_scans.get("persons", self.raw.customers)
+        scans = self.raw.key_scans
+        scan = scans["persons"]() if "persons" in scans else self.raw.customers
         return hot_keys(scan, ["customer_unique_id"], self.skew)["customer_unique_id"]
 
     def hot(self, column: str) -> Sequence:
@@ -85,7 +98,7 @@ class Mart:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        # The roll-up and the item fact share this one shuffle.
+        # All work per order happens after this one shuffle.
         return colocate(staging.order_items(self.raw.order_items), "order_id", self.hot("order_id"))
 
     @cached_property
@@ -94,7 +107,8 @@ class Mart:
 
     @cached_property
     def order_payment_summary(self) -> DataFrame:
-        return staging.order_payment_summary(self.order_payments, self.legacy_fanout)
+        lines = colocate(self.order_payments, "order_id", self.hot("order_id"))
+        return staging.order_payment_summary(lines, self.legacy_fanout)
 
     @cached_property
     def order_reviews(self) -> DataFrame:
@@ -153,15 +167,12 @@ class Mart:
     @cached_property
     def order_context(self) -> DataFrame:
         return facts.order_context(
-            self.order_sequence,
-            facts.item_rollup(self.order_items),
-            self.order_payment_summary,
-            self.order_reviews,
+            self.order_sequence, self.order_payment_summary, self.order_reviews
         )
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return facts.fact_orders(self.order_context)
+        return facts.fact_orders(self.order_context, facts.item_rollup(self.order_items))
 
     @cached_property
     def fact_sales(self) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.bands import REVIEW_DETRACTOR, REVIEW_PROMOTER
 from orderlens.functions.exact import mean_of, plain_ratio
-from orderlens.operators.grouped import grouped_median
+from orderlens.operators.grouped import middle_values
 from orderlens.operators.keyed import union_all
 from orderlens.operators.ordering import exact_percentile, global_order
 from orderlens.operators.series import one_value
@@ -343,9 +343,10 @@ def _closure(names: Sequence[str], measures: dict) -> list[str]:
 def _median(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
     if not by:
         return exact_percentile(df, column, 0.5).select(_c("percentile").alias(name))
-    grouped = df.select(F.struct(*by).alias("_group"), _c(column).cast("decimal(30,6)").alias(name))
-    return grouped_median(grouped, "_group", name).select(
-        *[_c(f"_group.{b}").alias(b) for b in by], _c(name).cast("double").alias(name)
+    grouped = df.select(F.struct(*by).alias("_group"), _c(column).alias("_value"))
+    low, high = _c("low").cast("double"), _c("high").cast("double")
+    return middle_values(grouped, "_group", "_value").select(
+        *[_c(f"_group.{b}").alias(b) for b in by], (low + (high - low) * F.lit(0.5)).alias(name)
     )
 
 

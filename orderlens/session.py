@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet files unpack to several times their size; a side is broadcast by that.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -46,6 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder, so that losing an executor cannot reorder it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as a table in the shared folder and read it from there.
+
+    What follows no longer depends on how the rows were computed, so losing an
+    executor cannot renumber or reorder them; and being parquet, later steps read
+    only the columns they use.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

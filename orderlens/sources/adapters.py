@@ -20,8 +20,33 @@ from orderlens.sources.lookups import payment_types
 MONEY_SCALE = "cast(0.001 as decimal(4,3))"
 
 
+# Declared, so that opening a table reads no file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders(source: DataFrame) -> DataFrame:
@@ -45,18 +70,23 @@ def orders(source: DataFrame) -> DataFrame:
     )
 
 
+def person() -> Column:
+    """Every fifth order belongs to someone with several, the others to someone with one."""
+    key = F.col("o_orderkey")
+    return F.when(key % 5 == 0, F.concat(F.lit("p"), "o_custkey")).otherwise(F.concat(F.lit("n"), key))
+
+
 def customers(source: DataFrame, people: DataFrame) -> DataFrame:
-    """One row per order; every fifth order belongs to a person with several."""
-    key, person = F.col("o_orderkey"), F.col("o_custkey")
+    """One row per order."""
+    key, buyer = F.col("o_orderkey"), F.col("o_custkey")
     nation = F.col("c_nationkey")
     joined = source.select("o_orderkey", "o_custkey").join(
         people.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"
     )
-    shared = F.concat(F.lit("p"), person)
     return joined.select(
         F.concat(F.lit("c"), key).alias("customer_id"),
-        F.when(key % 5 == 0, shared).otherwise(F.concat(F.lit("n"), key)).alias("customer_unique_id"),
-        (nation * 4 + person % 4).cast("string").alias("customer_zip_code_prefix"),
+        person().alias("customer_unique_id"),
+        (nation * 4 + buyer % 4).cast("string").alias("customer_zip_code_prefix"),
         F.concat(F.lit(" SÃO  nation-"), nation, F.lit(" d'oeste ")).alias("customer_city"),
         nation.cast("string").alias("customer_state"),
     )
@@ -202,40 +232,39 @@ def geolocation_samples(people: DataFrame) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The tables, each planned when a query first asks for it."""
+
     def read(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
-    source, people, part = read("orders"), read("customer"), read("part")
-    lineitem = read("lineitem")
-    order_items = items(unique_lines(lineitem))
-    return RawTables(
-        orders=orders(source),
-        customers=customers(source, people),
-        order_items=order_items,
-        order_payments=payments(order_items),
-        order_reviews=reviews(source),
-        products=products(part),
-        sellers=sellers(read("supplier")),
-        category_translation=translation(part),
-        geolocation=aggregate_geolocation(geolocation_samples(people)),
-        states=states(read("nation"), read("region")),
-        category_groups=category_groups(part),
-        payment_types=payment_types(spark),
+    def item_keys() -> DataFrame:
+        return read("lineitem").select(
+            F.col("l_orderkey").cast("string").alias("order_id"),
+            F.col("l_partkey").cast("string").alias("product_id"),
+            F.col("l_suppkey").cast("string").alias("seller_id"),
+        )
+
+    def person_keys() -> DataFrame:
+        return read("orders").select(person().alias("customer_unique_id"))
+
+    raw = RawTables(
+        spark,
         country="World",
-        # The same keys, read without the work above.
-        key_scans={
-            "order_items": lineitem.select(
-                F.col("l_orderkey").cast("string").alias("order_id"),
-                F.col("l_partkey").cast("string").alias("product_id"),
-                F.col("l_suppkey").cast("string").alias("seller_id"),
-            ),
-            "persons": source.select(
-                F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("p"), "o_custkey"))
-                .otherwise(F.concat(F.lit("n"), "o_orderkey"))
-                .alias("customer_unique_id")
-            ),
-        },
+        key_scans={"order_items": item_keys, "persons": person_keys},
+        orders=lambda: orders(read("orders")),
+        customers=lambda: customers(read("orders"), read("customer")),
+        order_items=lambda: items(unique_lines(read("lineitem"))),
+        order_payments=lambda: payments(raw.order_items),
+        order_reviews=lambda: reviews(read("orders")),
+        products=lambda: products(read("part")),
+        sellers=lambda: sellers(read("supplier")),
+        category_translation=lambda: translation(read("part")),
+        geolocation=lambda: aggregate_geolocation(geolocation_samples(read("customer"))),
+        states=lambda: states(read("nation"), read("region")),
+        category_groups=lambda: category_groups(read("part")),
+        payment_types=lambda: payment_types(spark),
     )
+    return raw
 
 
 def _as_text(df: DataFrame) -> DataFrame:

@@ -94,8 +94,10 @@ class Ingest:
     def dq_result(self) -> DataFrame:
         return self.store.read_batches("ops/dq_result", OPS["dq_result"])
 
-    def raw(self, table: str) -> DataFrame:
-        return self.store.read_batches(f"raw/{table}", RAW[table], self.committed())
+    def raw(self, table: str, committed: list[int] | None = None) -> DataFrame:
+        """A raw table as the finished batches have left it."""
+        done = self.committed() if committed is None else committed
+        return self.store.read_batches(f"raw/{table}", RAW[table], done)
 
     def read_cursor(self) -> Cursor:
         rows = self.store.read_batches("ops/ingest_watermark", OPS["ingest_watermark"])
@@ -187,8 +189,8 @@ class Ingest:
         self.store.put_batch(name, rows.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
         return seen.get["n"]
 
-    def _write_raw(self, table: str, typed: DataFrame, batch_id: int) -> int:
-        fresh = absent_from(typed, self.raw(table), RAW_KEYS[table])
+    def _write_raw(self, table: str, typed: DataFrame, batch_id: int, committed: list[int]) -> int:
+        fresh = absent_from(typed, self.raw(table, committed), RAW_KEYS[table])
         names = [n for n in RAW[table].names if n not in ("batch_id", "ingested_at")]
         return self._write(f"raw/{table}", fresh.select(*names, F.now().alias("ingested_at")), batch_id)
 
@@ -218,7 +220,7 @@ class Ingest:
         columns = LANDING["orders"].names
         unparsed = unparsed_in.filter("purchase_ts is null").withColumn("reason", F.lit("bad_timestamp"))
         refused = [rules.rejects(unparsed, "orders", columns)]
-        loaded = 0
+        loaded, done = 0, self.committed()
         if last.n:
             checked = cut_lineage(rules.check_orders(window, self.landing["customers"]))
             good = checked.filter("reason is null")
@@ -230,11 +232,11 @@ class Ingest:
             buyers = self.landing["customers"].join(
                 good.select("customer_id").distinct(), "customer_id", "left_semi"
             )
-            loaded += self._write_raw("customers", rules.typed_customers(buyers), batch_id)
-            loaded += self._write_raw("orders", rules.typed_orders(good), batch_id)
+            loaded += self._write_raw("customers", rules.typed_customers(buyers), batch_id, done)
+            loaded += self._write_raw("orders", rules.typed_orders(good), batch_id, done)
             for name, rows in children.items():
                 typed = self._TYPED[name](rows.filter("reason is null"))
-                loaded += self._write_raw(name, typed, batch_id)
+                loaded += self._write_raw(name, typed, batch_id, done)
         rejected = self._write_errors(union_all(refused), batch_id)
 
         # The cursor follows the window, also when all of it was refused.
@@ -303,9 +305,10 @@ class Ingest:
         batch_id, started = self._next_id(), _now()
         try:
             children = self._children(self.raw("orders"))
-            loaded = 0
+            loaded, done = 0, self.committed()
             for name, rows in children.items():
-                loaded += self._write_raw(name, self._TYPED[name](rows.filter("reason is null")), batch_id)
+                typed = self._TYPED[name](rows.filter("reason is null"))
+                loaded += self._write_raw(name, typed, batch_id, done)
             refused = [rules.rejects(rows, name, LANDING[name].names) for name, rows in children.items()]
             rejected = self._write_errors(union_all(refused), batch_id)
         except Exception as error:
@@ -330,10 +333,12 @@ class Ingest:
             self.store.clear(f"ops/{table}")
 
     # -- after the batches -----------------------------------------------------------
-    def mart(self, reference: Mapping[str, DataFrame], **options) -> Mart:
+    def mart(self, reference: Mapping, **options) -> Mart:
         """The model over what is loaded; `reference` adds geolocation and the lookups."""
+        done = self.committed()
         raw = RawTables(
-            **{table: self.raw(table) for table in RAW},
+            self.spark,
+            **{table: self.raw(table, done) for table in RAW},
             products=self.landing["products"],
             sellers=self.landing["sellers"],
             category_translation=self.landing["category_translation"],

@@ -19,6 +19,11 @@ def out(source: str, *, text: str = "", dates: str = "", nums: str = "", ints: s
     return query(f"select {', '.join(columns)} from {source}")
 
 
+# Letters without a base letter under an accent are spelled out.
+SPELLED = "trim(lower(text), ' ')"
+for _letter, _plain in {"æ": "ae", "ß": "ss", "œ": "oe", "ø": "o", "đ": "d", "ł": "l", "ı": "i"}.items():
+    SPELLED = f"replace({SPELLED}, '{_letter}', '{_plain}')"
+
 SALES_TEXT = "order_item_key order_id customer_unique_id product_id seller_id order_status is_delivered is_valid_sale is_first_order"
 
 # What a dirty order, item or review is refused for.
@@ -185,7 +190,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_place_text": query(
             f"""select doc_id, cleaned, length(cleaned) as n_chars from (
                  select doc_id, nullif({INITCAP.format("plain")}, '') as cleaned from (
-                   select doc_id, regexp_replace(strip_accents(trim(lower(text), ' ')), '\\s+', ' ', 'g') as plain
+                   select doc_id, regexp_replace(strip_accents({SPELLED}), '\\s+', ' ', 'g') as plain
                    from documents))"""
         ),
         "customers_staged": out("src_people", text="customer_id customer_unique_id zip_code_prefix city state_code"),
