@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from orderlens.plans.metrics import (
     segment_share,
     share_of_selection,
 )
-from orderlens.session import shared_dir
+from orderlens.session import at_once, shared_dir
 from orderlens.sources import adapters
 from orderlens.sources.landing import aggregate_geolocation, row_counts
 from orderlens.streaming import health, rules
@@ -160,11 +161,17 @@ def reject_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
     """Bulk load: the dirty feed written once as landing tables."""
     tables = adapters.landing_tables(spark, sf_dir)
-    for name, df in tables.items():
-        writer = df.write.mode("overwrite")
+
+    def write(name: str) -> None:
+        df, path = tables[name], f"{folder}/landing/{name}"
         if name == "orders":
-            writer = df.repartition("purchase_month").write.mode("overwrite").partitionBy("purchase_month")
-        writer.parquet(f"{folder}/landing/{name}")
+            # By time and id, so that a month with very many orders is written by many tasks.
+            ranged = df.repartitionByRange("purchase_ts", "order_id")
+            ranged.write.mode("overwrite").partitionBy("purchase_month").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+
+    at_once({name: partial(write, name) for name in tables})
     return {name: spark.read.parquet(f"{folder}/landing/{name}") for name in tables}
 
 

@@ -11,7 +11,6 @@ from orderlens.functions.dates import month_key, month_label, month_number, mont
 from orderlens.functions.exact import exact_ratio, pct, rounded_mean
 from orderlens.operators.ordering import global_order, ntile_all, ntile_of
 from orderlens.operators.series import densify, one_value
-from orderlens.plans.dimensions import analysis_date, as_of
 
 
 def person_totals(fact_orders: DataFrame) -> DataFrame:
@@ -34,17 +33,19 @@ def person_totals(fact_orders: DataFrame) -> DataFrame:
     )
 
 
-def rfm(totals: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def rfm(totals: DataFrame) -> DataFrame:
     """Recency and money are quintiles; frequency is banded, as most people order once.
 
-    Ties are broken by person, so the quintiles are the same on every run.
+    Ties are broken by person, so the quintiles are the same on every run. "Today"
+    is the last valid purchase, which is the latest of the people's last ones.
     """
+    today = one_value(totals.agg(F.max("last_order_date").alias("d")), F.col("d"))
     person = F.col("customer_unique_id").asc()
     base = totals.select(
         "customer_unique_id",
         "first_order_date",
         "last_order_date",
-        F.datediff(as_of(fact_orders), "last_order_date").alias("recency_days"),
+        F.datediff(today, "last_order_date").alias("recency_days"),
         F.col("total_orders").alias("frequency"),
         F.col("lifetime_value").alias("monetary"),
         "avg_order_value",
@@ -115,7 +116,8 @@ def cohort(fact_orders: DataFrame, dense: bool = False) -> DataFrame:
 
     Activity is one row per person and month, so finding a person's first month
     is a window over a few rows, and counting rows counts people. Cells without
-    activity are left out; dense=True adds them with zeros up to the last month.
+    activity are left out; dense=True adds them with zeros up to the last month with
+    a sale, so no cell lies after the analysis date.
     """
     month = month_start(F.col("purchase_date"))
     activity = (
@@ -142,14 +144,12 @@ def cohort(fact_orders: DataFrame, dense: bool = False) -> DataFrame:
             .fillna(0, ["active_customers"])
             .withColumn("cohort_revenue", F.coalesce("cohort_revenue", F.lit(0).cast("decimal(22,2)")))
         )
-    last = one_value(analysis_date(fact_orders), F.col("as_of_month"))
     index = month_number(F.col("activity_month")) - month_number(F.col("cohort_month"))
     by_cohort = Window.partitionBy("cohort_month")  # at most one row per calendar month
     founded = F.max(F.when(index == 0, F.col("active_customers"))).over(by_cohort)
     revenue = F.col("cohort_revenue")
     return (
         cells.withColumn("cohort_size", founded)
-        .filter(F.col("activity_month") <= last)
         .select(
             "cohort_month",
             month_label(F.col("cohort_month")).alias("cohort_month_label"),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import bands
 from orderlens.functions.dates import date_key, month_key, month_label, month_start
-from orderlens.operators.series import one_value
 
 
 def dim_date(spark: SparkSession, purchases: DataFrame, ts: str) -> DataFrame:
@@ -153,7 +152,3 @@ def analysis_date(fact_orders: DataFrame) -> DataFrame:
         first.alias("data_start_date"),
         month_start(last).alias("as_of_month"),
     )
-
-
-def as_of(fact_orders: DataFrame):
-    return one_value(analysis_date(fact_orders), F.col("as_of_date"))

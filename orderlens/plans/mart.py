@@ -185,11 +185,12 @@ class Mart:
 
     @cached_property
     def _person_totals(self) -> DataFrame:
-        return analytics.person_totals(self.fact_orders)
+        # Written once: RFM orders it twice and lifetime value once more.
+        return cut_lineage(analytics.person_totals(self.fact_orders))
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return analytics.rfm(self._person_totals, self.fact_orders)
+        return analytics.rfm(self._person_totals)
 
     @cached_property
     def cohort(self) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(actions: Mapping[str, Callable]) -> dict:
+    """Run independent Spark jobs side by side, so that small ones do not queue up."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = {name: pool.submit(action) for name, action in actions.items()}
+        return {name: job.result() for name, job in running.items()}

@@ -11,6 +11,7 @@ import datetime
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from orderlens.operators.keyed import absent_from, after_cursor, union_all, up_t
 from orderlens.operators.ordering import global_order
 from orderlens.plans.mart import PERSON_TABLES, Mart, RawTables
 from orderlens.plans.quality import DataQualityError, IngestState, dq_checks, failed_errors
-from orderlens.session import cut_lineage
+from orderlens.session import at_once, cut_lineage
 from orderlens.sources.landing import typed_feed
 from orderlens.sources.schemas import BATCH_STATUSES, LANDING, OPS, RAW, RAW_KEYS
 from orderlens.sources.tables import TableStore
@@ -175,7 +176,7 @@ class Ingest:
             "order_reviews": rules.check_reviews(of("order_reviews")),
         }
         # Read twice below, and far smaller than the landed tables.
-        return {name: cut_lineage(df) for name, df in checked.items()}
+        return at_once({name: partial(cut_lineage, df) for name, df in checked.items()})
 
     _TYPED = {
         "order_items": rules.typed_items,
@@ -183,6 +184,22 @@ class Ingest:
         "order_reviews": rules.typed_reviews,
     }
 
+    def _typed(self, children: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {n: self._TYPED[n](rows.filter("reason is null")) for n, rows in children.items()}
+
+    def _write_all(
+        self, typed: dict[str, DataFrame], refused: list[DataFrame], batch_id: int
+    ) -> tuple[int, int]:
+        """Write the raw tables and the rejects of a batch; no write needs another."""
+        done = self.committed()
+        writes = {
+            table: partial(self._write_raw, table, rows, batch_id, done) for table, rows in typed.items()
+        }
+        writes["rejects"] = partial(self._write_errors, union_all(refused), batch_id)
+        counts = at_once(writes)
+        rejected = counts.pop("rejects")
+        return sum(counts.values()), rejected
+
     def _write(self, name: str, rows: DataFrame, batch_id: int) -> int:
         """Write one batch's rows and count them on the way."""
         seen = Observation()
@@ -220,7 +237,7 @@ class Ingest:
         columns = LANDING["orders"].names
         unparsed = unparsed_in.filter("purchase_ts is null").withColumn("reason", F.lit("bad_timestamp"))
         refused = [rules.rejects(unparsed, "orders", columns)]
-        loaded, done = 0, self.committed()
+        loaded = 0
         if last.n:
             checked = cut_lineage(rules.check_orders(window, self.landing["customers"]))
             good = checked.filter("reason is null")
@@ -232,12 +249,10 @@ class Ingest:
             buyers = self.landing["customers"].join(
                 good.select("customer_id").distinct(), "customer_id", "left_semi"
             )
-            loaded += self._write_raw("customers", rules.typed_customers(buyers), batch_id, done)
-            loaded += self._write_raw("orders", rules.typed_orders(good), batch_id, done)
-            for name, rows in children.items():
-                typed = self._TYPED[name](rows.filter("reason is null"))
-                loaded += self._write_raw(name, typed, batch_id, done)
-        rejected = self._write_errors(union_all(refused), batch_id)
+            typed = {"customers": rules.typed_customers(buyers), "orders": rules.typed_orders(good)}
+            loaded, rejected = self._write_all({**typed, **self._typed(children)}, refused, batch_id)
+        else:
+            rejected = self._write_errors(union_all(refused), batch_id)
 
         # The cursor follows the window, also when all of it was refused.
         reached = cursor
@@ -305,12 +320,8 @@ class Ingest:
         batch_id, started = self._next_id(), _now()
         try:
             children = self._children(self.raw("orders"))
-            loaded, done = 0, self.committed()
-            for name, rows in children.items():
-                typed = self._TYPED[name](rows.filter("reason is null"))
-                loaded += self._write_raw(name, typed, batch_id, done)
             refused = [rules.rejects(rows, name, LANDING[name].names) for name, rows in children.items()]
-            rejected = self._write_errors(union_all(refused), batch_id)
+            loaded, rejected = self._write_all(self._typed(children), refused, batch_id)
         except Exception as error:
             self.record_failure(batch_id, started, "backfill", error)
             raise
