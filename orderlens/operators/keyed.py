@@ -25,11 +25,16 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return rows.join(target.select(*keys), list(keys), "left_anti")
 
 
+def _instant(ts) -> Column:
+    """A time without zone; as text, so that no session time zone shifts it."""
+    return F.lit(str(ts)).cast("timestamp_ntz")
+
+
 def after_cursor(ts: Column, key: Column, last_ts, last_key: str) -> Column:
     """(ts, key) > (last_ts, last_key), spelled so that the ts part reaches the scan."""
     if last_ts is None:
         return ts.isNotNull()
-    bound = F.lit(last_ts).cast("timestamp_ntz")
+    bound = _instant(last_ts)
     return (ts >= bound) & ((ts > bound) | ((ts == bound) & (key > F.lit(last_key or ""))))
 
 
@@ -37,7 +42,7 @@ def up_to_cursor(ts: Column, key: Column, last_ts, last_key: str) -> Column:
     """(ts, key) <= (last_ts, last_key)."""
     if last_ts is None:
         return F.lit(False)
-    bound = F.lit(last_ts).cast("timestamp_ntz")
+    bound = _instant(last_ts)
     return (ts <= bound) & ((ts < bound) | ((ts == bound) & (key <= F.lit(last_key or ""))))
 
 

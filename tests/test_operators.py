@@ -114,6 +114,18 @@ def test_cursor_conditions(spark):
     assert df.filter(keyed.after_cursor(F.col("ts"), F.col("id"), None, "")).count() == 4
 
 
+def test_cursor_does_not_depend_on_the_session_time_zone(spark):
+    at = datetime.datetime(2020, 1, 1)
+    df = spark.createDataFrame([(at, "a"), (at, "c")], "ts timestamp_ntz, id string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert df.filter(keyed.after_cursor(F.col("ts"), F.col("id"), at, "b")).count() == 1
+        assert df.filter(keyed.up_to_cursor(F.col("ts"), F.col("id"), at, "b")).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_cursor_reaches_the_scan(spark):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     at = datetime.datetime(2024, 1, 10)
