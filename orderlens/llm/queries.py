@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import exact_dedup, mixing, oracle
+from orderlens.llm import (
+    decontaminate,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    oracle,
+    substring_dedup,
+    token_store,
+    toxicity,
+)
 from orderlens.session import shared_dir
 
 
@@ -27,14 +36,50 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, table(spark, sf_dir, "documents"), index, "documents")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary the queries use; operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as a store, and read it back."""
+    root = f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_store.write(table(spark, sf_dir, "documents"), root, tokenizer_path())
+    return token_store.TokenStore(spark, root).digests()
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_token_store": op4_token_store,
+        "op6_substring_dedup": op6_substring_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
