@@ -26,7 +26,7 @@ from orderlens.llm import words as W
 BITS = 20
 TRAINING_ROWS = 20_000
 #: FTRL-proximal: rate, smoothing, L1, L2.
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 3.0, 1.0
 THRESHOLD = 0.3
 EDGE = r"^[^\pL\pN]+|[^\pL\pN]+$"
 _STEPS = {0: 1, 1: 0x9E3779B97F4A7C15, 2: 0xC2B2AE3D27D4EB4F, 3: 0x165667B19E3779F9}
