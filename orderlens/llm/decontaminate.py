@@ -155,6 +155,36 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `docs` without a copy of a test item, with all their columns.
+
+    The decision falls where the row is read, so no text is shuffled; with several parts of
+    items the rows pass one search after another.
+    """
+    rows = docs.count()
+    left = docs
+    for part in _parts(item_words(items)):
+        seeds = part.rare(document_frequency(docs, part), rows)
+        left = _without(left, seeds)
+    return left
+
+
+def _without(docs: DataFrame, items: Items) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
+        for piece in (x for batch in batches for x in W.pieces(batch)):
+            begins, hashes, starts, place = _hits(W.whole(piece.column("text")), items.grams)
+            doc, item, low, high = _passages(begins, starts, place, items)
+            good = np.ones(piece.num_rows, bool)
+            for k, *_ in _aligned(hashes, items.words, item, low, high):
+                good[doc[k]] = False
+            yield piece.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def _search(docs: DataFrame, items: Items) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 

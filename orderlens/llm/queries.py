@@ -6,14 +6,18 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.llm import (
     decontaminate,
     exact_dedup,
+    html_extract,
     mixing,
     ngram_join,
     oracle,
+    quality,
     substring_dedup,
+    token_counts,
     token_store,
     toxicity,
 )
@@ -47,6 +51,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as a store, and read it back."""
     root = f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
@@ -54,11 +62,24 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.TokenStore(spark, root).digests()
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one batch of inserts into an empty rollup."""
+    root = f"{shared_dir(spark).rstrip('/')}/token-counts-{uuid.uuid4().hex}"
+    rollup = token_counts.TokenRollup(spark, root, tokenizer_path())
+    inserts = table(spark, sf_dir, "documents").withColumn("op", F.lit("insert"))
+    rollup.apply("documents", inserts)
+    return rollup.totals()
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -75,8 +96,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_quality": op3_quality,
         "op4_token_store": op4_token_store,
+        "op5_html_extract": op5_html_extract,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_token_counts": op7_token_counts,
         "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
         "op10_ngram_join": op10_ngram_join,
