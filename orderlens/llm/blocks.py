@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import words as W
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 ROW_BYTES = 2_000_000
 PACKED = "block long, docs binary"
 ASKED = "shard long, block long, n long, hashes binary, extra binary"

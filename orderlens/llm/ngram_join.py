@@ -9,8 +9,9 @@
 3. Posted shingles meet. First each shingle's most central document (fewest unique shingles)
    is compared with the others; then all pairs that these links have not joined into one
    component yet, in classes of length. Length, positional and suffix filters (suffixes are
-   compared by their counts in eight ranges of the order) thin the candidates, and each
-   distinct pair is verified once on its whole sets.
+   compared by their counts in eight ranges of the order) thin the candidates, as does the
+   number of shingles that only one document has; the second time, bitmaps of the sets bound
+   their difference from below. Each distinct pair is verified once on its whole sets.
 
 Pairs inside one component need no further test, as only membership is returned; no link
 between components is lost. A group of copies therefore costs its size, not its square.
@@ -41,11 +42,13 @@ THRESHOLD = (3, 4)
 #: more frequent to all documents alike.
 COUNTED = np.uint64(16)
 CELLS = 8
+#: Bits of a set's bitmap; each is set when an odd number of shingles falls on it.
+BITS = 1024
 #: Just above 4/3, so similar sets are at most one class of length apart.
 LENGTH_BASE = 1.34
 PROFILE = (
     "uid long, doc_id long, n long, digest binary, unique long, cells long, "
-    "tokens array<long>, positions array<int>, grams array<long>"
+    "tokens array<long>, positions array<int>, grams array<long>, bits array<long>"
 )
 
 
@@ -109,7 +112,7 @@ def profiles(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFram
             rows.append((block * 2**32 + k, *_profile(own, rare)))
         names = [x.split()[0] for x in PROFILE.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(),
-                 pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                 pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
         columns.insert(1, table["doc_id"].cast(pa.int64()).combine_chunks())
         return pa.table(columns, names=names)
@@ -119,19 +122,21 @@ def profiles(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFram
 
 def _profile(own: np.ndarray, rare: np.ndarray) -> tuple:
     if not len(own):
-        return 0, None, 0, 0, None, None, None
+        return 0, None, 0, 0, None, None, None, None
     unique = int((rare == 0).sum())
     size = prefix_length(len(own))
     digest = xxhash.xxh3_128_digest(own.tobytes())
     if unique >= size:
-        return len(own), digest, unique, 0, None, None, None
+        return len(own), digest, unique, 0, None, None, None, None
     order = np.argsort(rare, kind="stable")[:size]
     shared = np.flatnonzero(rare[order] > 0)
     counts = np.bincount((own >> np.uint64(61)).astype(np.int64), minlength=CELLS)
     cells = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    odd = np.bincount((own >> np.uint64(54)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
     return (
         len(own), digest, unique, int.from_bytes(cells, "little", signed=True),
         own[order[shared]].view(np.int64), shared.astype(np.int32), own.view(np.int64),
+        np.packbits(odd, bitorder="little").view("<i8"),
     )
 
 
@@ -142,15 +147,27 @@ def overlap(n1: Column, n2: Column) -> Column:
 
 
 def may_match(a: str, b: str) -> Column:
-    """Length, positional and suffix filter for a shingle that both prefixes have."""
+    """Length, positional and suffix filter for a shingle that both prefixes have.
+
+    Shingles that one document alone has cannot be common.
+    """
     part, whole = THRESHOLD
-    n1, n2, p1, p2 = (F.col(f"{x}.{y}") for y in ("n", "pos") for x in (a, b))
+    n1, n2, p1, p2, u1, u2 = (F.col(f"{x}.{y}") for y in ("n", "pos", "unique") for x in (a, b))
     need = overlap(n1, n2)
     length = F.least(n1, n2) * whole >= F.greatest(n1, n2) * part
     most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
     cell = lambda x, k: F.shiftrightunsigned(F.col(f"{x}.cells"), 8 * k).bitwiseAND(255)
     apart = sum((F.abs(cell(a, k) - cell(b, k)) for k in range(CELLS)), F.lit(0))
-    return length & (most >= need) & (n1 + n2 - need * 2 >= apart)
+    shared = F.least(n1 - u1, n2 - u2) >= need
+    return length & shared & (most >= need) & (n1 + n2 - need * 2 >= apart)
+
+
+def bitmaps_may_match(a: str, b: str) -> Column:
+    """Bits that differ are at most the shingles that only one of the two sets has."""
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    bits = lambda k: F.col(f"{a}.bits")[k].bitwiseXOR(F.col(f"{b}.bits")[k])
+    differ = sum((F.bit_count(bits(k)) for k in range(BITS // 64)), F.lit(0))
+    return differ <= n - overlap(F.col(f"{a}.n"), F.col(f"{b}.n")) * 2
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -197,14 +214,15 @@ def link_components(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     links = cut_lineage(verified(tried, sets))
     joined = components(links)
-    more = verified(_untried(met, joined).join(tried, ["a", "b"], "left_anti"), sets)
+    bits = heads.select(F.col("uid").alias("node"), "bits")
+    more = verified(_untried(met, joined, bits).join(tried, ["a", "b"], "left_anti"), sets)
     return classes, components(links.union(more))
 
 
-def _untried(met: DataFrame, joined: DataFrame) -> DataFrame:
+def _untried(met: DataFrame, joined: DataFrame, bits: DataFrame) -> DataFrame:
     """Candidate pairs that are in different components so far."""
     known = (
-        met.select("token", "node", "n", "pos", "cells")
+        met.select("token", "node", "n", "pos", "unique", "cells")
         .join(joined, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
@@ -212,9 +230,9 @@ def _untried(met: DataFrame, joined: DataFrame) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     open_ = cut_lineage(
-        known.join(split.where("low < high").select("token").hint("merge"), "token", "left_semi").withColumn(
-            "step", F.floor(F.log(F.col("n")) / float(np.log(LENGTH_BASE)))
-        )
+        known.join(split.where("low < high").select("token").hint("merge"), "token", "left_semi")
+        .join(bits.hint("merge"), "node")
+        .withColumn("step", F.floor(F.log(F.col("n")) / float(np.log(LENGTH_BASE))))
     )
     near = open_.withColumn("step", F.explode(F.array(*(F.col("step") + k for k in (-1, 0, 1)))))
     return (
@@ -222,7 +240,7 @@ def _untried(met: DataFrame, joined: DataFrame) -> DataFrame:
         .join(near.hint("merge").alias("y"), ["token", "step"])
         .where(F.col("x.component") != F.col("y.component"))
         .where(F.col("x.node") < F.col("y.node"))
-        .where(may_match("x", "y"))
+        .where(may_match("x", "y") & bitmaps_may_match("x", "y"))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
