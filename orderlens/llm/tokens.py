@@ -17,7 +17,7 @@ import pyarrow as pa
 from orderlens.llm import words as W
 
 #: Words remembered by a worker, beyond which it starts anew. It bounds memory, not results.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 _AT_ONCE = 1_000
 
 

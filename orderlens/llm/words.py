@@ -77,7 +77,7 @@ def ids(column) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), LAST_ID).to_numpy(zero_copy_only=False)
 
 
-def pieces(batch: pa.RecordBatch, most: int = 16_000_000):
+def pieces(batch: pa.RecordBatch, most: int = 8_000_000):
     """The batch in slices of at most `most` bytes of text (or one row)."""
     size = np.cumsum(pc.binary_length(whole(batch.column("text"))).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
