@@ -158,8 +158,8 @@ def reject_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(out)
 
 
-def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
-    """Bulk load: the dirty feed written once as landing tables."""
+def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """Bulk load: the dirty feed written once as landing tables, as functions that open them."""
     tables = adapters.landing_tables(spark, sf_dir)
 
     def write(name: str) -> None:
@@ -172,7 +172,7 @@ def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
             df.write.mode("overwrite").parquet(path)
 
     at_once({name: partial(write, name) for name in tables})
-    return {name: spark.read.parquet(f"{folder}/landing/{name}") for name in tables}
+    return {name: partial(spark.read.parquet, f"{folder}/landing/{name}") for name in tables}
 
 
 def new_ingest(spark: SparkSession, sf_dir: str) -> Ingest:
@@ -268,6 +268,9 @@ def _metrics(names, by=(), where=None) -> Query:
     return _of(lambda mart: evaluate(mart, names, by, where))
 
 
+PLACES = Filters(regions=("ASIA", "EUROPE"))
+
+
 def _flat_metrics(table: str, by=()) -> Query:
     return _of(lambda m: evaluate(m, list(FLAT_MEASURES[table]), by, measures=FLAT_MEASURES[table]))
 
@@ -359,6 +362,9 @@ def queries() -> dict[str, Query]:
         "repeat_customer_pct": _metrics(["repeat_customer_pct"], ["customer_region"]),
         "value_metrics": _metrics(VALUE),
         "ltv_by_band": _metrics(["avg_customer_ltv", "median_customer_ltv"], ["ltv_band"]),
+        "ltv_by_region": _metrics(["avg_customer_ltv", "median_customer_ltv"], ["customer_region"]),
+        "ltv_filtered": _metrics(VALUE, ["customer_state"], PLACES),
+        "segments_filtered": _metrics(["customers_in_segment", "segment_revenue"], ["rfm_segment"], PLACES),
         "retention_weighted": _metrics(COHORT),
         "retention_by_cohort": _metrics(COHORT, ["cohort_month"]),
         "categories_to_80_metric": _metrics(["categories_to_80_pct"]),
@@ -414,5 +420,7 @@ def queries() -> dict[str, Query]:
         "rls_dynamic": _secured("director@example.com", _people_seen),
         "rls_dynamic_manager": _secured("europe@example.com", _people_seen),
         "rls_dynamic_trend": _secured("asia@example.com", dashboards.revenue_trend),
+        "rls_yoy_mom": _secured("asia@example.com", over_time.yoy_mom),
+        "rls_running_total": _secured("asia@example.com", over_time.running_total),
         "rls_unknown_user": _secured("nobody@example.com", _people_seen),
     }

@@ -8,8 +8,9 @@ doing one again replaces it. One writer at a time per root folder.
 from __future__ import annotations
 
 import datetime
+import hashlib
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -27,8 +28,6 @@ from orderlens.sources.tables import TableStore
 from orderlens.streaming import rules
 
 SOURCE = "orders_feed"
-# Above this many rows a window is cut by the distributed order, not by a top-n.
-LARGEST_TOP = 50_000
 
 
 @dataclass(frozen=True)
@@ -51,11 +50,21 @@ class BatchResult:
 
 
 def next_window(feed: DataFrame, cursor: Cursor, size: int) -> DataFrame:
-    """The `size` rows that follow the cursor in (purchase time, order id)."""
+    """The `size` rows that follow the cursor in (purchase time, order id).
+
+    Rows per month, of which there are as many as the calendar has, tell how far the
+    window can reach; only those months are ordered, by many tasks whatever the size. All
+    columns break ties, so copies of one order are taken in the same order always.
+    """
     ts, key = F.col("purchase_ts"), F.col("order_id")
     ahead = feed.filter(after_cursor(ts, key, cursor.last_ts, cursor.last_id))
-    if size <= LARGEST_TOP:
-        return ahead.orderBy(ts.asc(), key.asc()).limit(size)
+    month = F.add_months(F.trunc(ts, "month"), 1).alias("end")
+    seen = 0
+    for row in ahead.groupBy(month).count().orderBy("end").collect():
+        seen += row["count"]
+        if seen >= size:
+            ahead = ahead.filter(ts < F.lit(str(row["end"])).cast("timestamp_ntz"))
+            break
     ties = [F.col(c).asc_nulls_last() for c in feed.columns if c not in ("purchase_ts", "order_id")]
     placed = global_order(ahead, [ts.asc(), key.asc(), *ties], "_at")
     return placed.filter(F.col("_at") <= size).drop("_at")
@@ -71,15 +80,37 @@ def _now() -> datetime.datetime:
     return datetime.datetime.now()
 
 
+class Drip(list):
+    """The results of a run of batches; `drained` is False when a limit ended the run."""
+
+    drained = False
+
+
 class Ingest:
-    """`landing` maps table names to landed all-text tables; `root` is a shared folder."""
+    """`landing` maps table names to landed all-text tables; `root` is a shared folder.
+
+    A table may be given as a function that opens it. It is then opened anew by every
+    batch, so files that land later are seen; a frame keeps the files it was made with.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, landing: Mapping[str, DataFrame]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        landing: Mapping[str, DataFrame | Callable[[], DataFrame]],
+    ):
         self.spark = spark
         self.store = TableStore(spark, root)
-        self.landing = dict(landing)
-        orders = self.landing["orders"]
-        self.feed = orders if "purchase_ts" in orders.columns else typed_feed(orders)
+        self._landing = dict(landing)
+
+    def landed(self, table: str) -> DataFrame:
+        opened = self._landing[table]
+        return opened() if callable(opened) else opened
+
+    @property
+    def feed(self) -> DataFrame:
+        orders = self.landed("orders")
+        return orders if "purchase_ts" in orders.columns else typed_feed(orders)
 
     # -- state -------------------------------------------------------------------
     def load_batch(self) -> DataFrame:
@@ -157,6 +188,7 @@ class Ingest:
             "error_id": batch_id,
             "source_table": f"pipeline:{step}",
             "error_type": "pipeline_failure",
+            # the column's own length, as the log is read by people
             "error_detail": f"{type(error).__name__}: {error}"[:2000],
             "logged_at": _now(),
         }
@@ -167,11 +199,11 @@ class Ingest:
         """Landed rows of the given orders, each with the reason it is refused, if any."""
 
         def of(table: str) -> DataFrame:
-            landed = self.landing[table].select(*LANDING[table].names)
+            landed = self.landed(table).select(*LANDING[table].names)
             return landed.join(orders.select("order_id").distinct(), "order_id", "left_semi")
 
         checked = {
-            "order_items": rules.check_items(of("order_items"), self.landing["products"]),
+            "order_items": rules.check_items(of("order_items"), self.landed("products")),
             "order_payments": rules.check_payments(of("order_payments")),
             "order_reviews": rules.check_reviews(of("order_reviews")),
         }
@@ -239,14 +271,14 @@ class Ingest:
         refused = [rules.rejects(unparsed, "orders", columns)]
         loaded = 0
         if last.n:
-            checked = cut_lineage(rules.check_orders(window, self.landing["customers"]))
+            checked = cut_lineage(rules.check_orders(window, self.landed("customers")))
             good = checked.filter("reason is null")
             children = self._children(good)
             refused.append(rules.rejects(checked, "orders", columns))
             refused += [
                 rules.rejects(rows, name, LANDING[name].names) for name, rows in children.items()
             ]
-            buyers = self.landing["customers"].join(
+            buyers = self.landed("customers").join(
                 good.select("customer_id").distinct(), "customer_id", "left_semi"
             )
             typed = {"customers": rules.typed_customers(buyers), "orders": rules.typed_orders(good)}
@@ -272,7 +304,7 @@ class Ingest:
             rows_rejected=rejected,
             watermark_from=cursor.last_ts,
             watermark_to=reached.last_ts,
-            notes=note if last.n else "no new orders; source drained",
+            notes=note if last.n else "nothing left in the feed",
         )
         if last.n:
             self._put_row(
@@ -289,19 +321,22 @@ class Ingest:
         return BatchResult(batch_id, last.n, loaded, rejected, reached.last_ts, status)
 
     # -- whole runs ----------------------------------------------------------------
-    def drip(self, runs: int = 200, size: int = 500) -> list[BatchResult]:
-        """Batches until the feed is drained or `runs` are done."""
-        results: list[BatchResult] = []
-        for _ in range(runs):
+    def drip(self, runs: int | None = None, size: int = 500) -> Drip:
+        """Batches until the feed is drained, or until `runs` are done if that is given."""
+        results = Drip()
+        while not results.drained and (runs is None or len(results) < runs):
             results.append(self.next_batch(size))
-            if results[-1].orders_attempted == 0:
-                break
+            results.drained = results[-1].orders_attempted == 0
         return results
 
     def stream(self, source: DataFrame, checkpoint: str, query: str = "stream"):
-        """Load whatever a stream of landed orders holds now, then stop."""
+        """Load whatever a stream of landed orders holds now, then stop.
+
+        Epochs are counted per checkpoint, so its name is part of what marks one as done.
+        """
+        label = f"{query} {hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"
         return (
-            source.writeStream.foreachBatch(lambda rows, epoch: self.arrivals(rows, epoch, query) and None)
+            source.writeStream.foreachBatch(lambda rows, epoch: self.arrivals(rows, epoch, label) and None)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -312,7 +347,8 @@ class Ingest:
         cursor = self.read_cursor()
         ts, key = F.col("purchase_ts"), F.col("order_id")
         passed = self.feed.filter(up_to_cursor(ts, key, cursor.last_ts, cursor.last_id))
-        logged = self.load_errors().select(F.col("record_key").alias("order_id"))
+        logged = self.load_errors().filter("source_table = 'seed.orders'")
+        logged = logged.select(F.col("record_key").alias("order_id"))
         return absent_from(absent_from(passed, self.raw("orders"), ["order_id"]), logged, ["order_id"])
 
     def backfill_children(self) -> BatchResult:
@@ -350,9 +386,9 @@ class Ingest:
         raw = RawTables(
             self.spark,
             **{table: self.raw(table, done) for table in RAW},
-            products=self.landing["products"],
-            sellers=self.landing["sellers"],
-            category_translation=self.landing["category_translation"],
+            products=self.landed("products"),
+            sellers=self.landed("sellers"),
+            category_translation=self.landed("category_translation"),
             calendar=self.feed.select("purchase_ts"),
             **reference,
         )

@@ -150,12 +150,63 @@ def test_late_rows_and_children(spark, landed, ingest_of):
     assert later.backfill_children().rows_loaded == 0
 
 
-def test_large_windows_are_cut_by_the_distributed_order(spark, monkeypatch, landed):
-    feed = typed_feed(landed([an_order(i, f"2017-01-0{1 + i % 3} 00:00:00") for i in range(9)])["orders"])
-    plain = next_window(feed, Cursor(), 4)
-    monkeypatch.setattr("orderlens.streaming.ingest.LARGEST_TOP", 1)
-    spread = next_window(feed, Cursor(), 4)
-    assert sorted(r.order_id for r in plain.collect()) == sorted(r.order_id for r in spread.collect())
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 7, 50])
+def test_windows_have_one_total_order(landed, size):
+    """Copies of one order are taken in the same order, whatever the size of the window."""
+    orders = [an_order(i, f"2017-0{1 + i % 3}-02 00:00:00") for i in range(9)]
+    orders += [an_order(0, "2017-01-02 00:00:00", customer) for customer in ("z", "x", "y")]
+    feed = typed_feed(landed(orders)["orders"])
+    key = lambda r: (r.purchase_ts, r.order_id, r.customer_id)
+    every = sorted(map(key, feed.collect()))
+    assert sorted(map(key, next_window(feed, Cursor(), size).collect())) == every[:size]
+
+
+def test_drip_says_whether_it_was_drained(landed, ingest_of):
+    ingest = ingest_of(landed([an_order(i) for i in range(4)]))
+    assert not ingest.drip(runs=2, size=1).drained
+    assert ingest.drip(size=1).drained
+
+
+def test_amounts_that_do_not_fit_are_refused(landed, ingest_of):
+    ingest = ingest_of(
+        landed(
+            [an_order(1)],
+            order_items=[
+                an_item(1, "1", "12345678901.00"), an_item(1, "2", freight="12345678901.00"),
+                an_item(1, "3", "9999999999.99", freight="9999999999.99"), an_item(1, "4", freight="oops"),
+            ],
+            order_payments=[{"order_id": "o1", "payment_sequential": "1", "payment_value": "12345678901.00"}],
+        )
+    )
+    ingest.drip()
+    assert errors(ingest) == [
+        ("seed.order_items", "o1#1", "bad_numeric"), ("seed.order_items", "o1#2", "bad_numeric"),
+        ("seed.order_payments", "o1#1", "bad_numeric"),
+    ]
+    kept = {r.order_item_id: (str(r.price), str(r.freight_value)) for r in ingest.raw("order_items").collect()}
+    assert kept == {3: ("9999999999.99", "9999999999.99"), 4: ("5.00", "0.00")}
+
+
+def test_a_second_stream_on_the_same_root_loads_its_orders(spark, tmp_path, landed, ingest_of):
+    tables = landed([an_order(1), an_order(2)])
+    ingest = ingest_of(tables)
+    for number in (1, 2):
+        folder = str(tmp_path / f"arrivals{number}")
+        tables["orders"].filter(f"order_id = 'o{number}'").write.parquet(folder)
+        source = spark.readStream.schema(LANDING["orders"]).parquet(folder)
+        ingest.stream(source, str(tmp_path / f"state{number}")).awaitTermination()
+    assert sorted(r.order_id for r in ingest.raw("orders").collect()) == ["o1", "o2"]
+
+
+def test_children_that_land_later_are_seen(spark, tmp_path, landed, ingest_of):
+    tables = landed([an_order(1)], order_items=[an_item(1)])
+    folder = str(tmp_path / "items")
+    tables["order_items"].write.parquet(folder)
+    ingest = ingest_of(tables | {"order_items": lambda: spark.read.parquet(folder)})
+    ingest.drip()
+    landed([], order_items=[an_item(1, "2")])["order_items"].write.mode("append").parquet(folder)
+    assert ingest.backfill_children().rows_loaded == 1
+    assert ingest.raw("order_items").count() == 2
 
 
 def test_stream_equals_drip_and_epochs_load_once(spark, tmp_path, landed, ingest_of):
@@ -166,7 +217,8 @@ def test_stream_equals_drip_and_epochs_load_once(spark, tmp_path, landed, ingest
         source = spark.readStream.schema(LANDING["orders"]).parquet(str(tmp_path / "arrivals"))
         ingest.stream(source, str(tmp_path / "state")).awaitTermination()
     assert ingest.raw("order_items").count() == 5 and len(ingest.committed()) == 1
-    assert ingest.arrivals(tables["orders"], 0) is None
+    assert ingest.arrivals(tables["orders"], 7, "q") is not None
+    assert ingest.arrivals(tables["orders"], 7, "q") is None
 
 
 def test_refresh_gate_and_reset(spark, landed, ingest_of):
