@@ -19,33 +19,30 @@ from orderlens.operators.ordering import global_order
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is hot when it holds `share` of all rows and at least `min_rows`."""
+    """A key is hot when it holds more rows than one task should take, whatever the total.
 
-    share: float = 0.0005
-    min_rows: int = 1_000_000
+    At most `max_hot` keys are looked for, with a sketch that tracks `tracked` of them.
+    """
+
+    rows_per_task: int = 1_000_000
+    max_hot: int = 2_000
     tracked: int = 10_000
     salts: int = 64
 
-    @property
-    def max_hot(self) -> int:
-        return int(1 / self.share)
-
 
 def hot_keys(df: DataFrame, columns: Sequence[str], policy: SkewPolicy) -> dict[str, list]:
     """Hot values per column from one scan of those columns.
 
-    The frequent-items sketch merges on the map side, and at most 1/share values
-    can be hot, so what reaches the driver is bounded. A miss costs time only:
-    results never depend on this list.
+    The frequent-items sketch merges on the map side, and at most `max_hot` values per
+    column reach the driver. A miss costs time only: results never depend on this list.
     """
     sketches = [
         F.call_function("approx_top_k", F.col(c), F.lit(policy.max_hot), F.lit(policy.tracked)).alias(c)
         for c in columns
     ]
-    row = df.select(*columns).agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    floor = max(policy.min_rows, policy.share * row["_rows"])
+    row = df.select(*columns).agg(*sketches).first()
     return {
-        c: [entry["item"] for entry in row[c] or [] if entry["item"] is not None and entry["count"] >= floor]
+        c: [entry["item"] for entry in row[c] or [] if entry["item"] is not None and entry["count"] > policy.rows_per_task]
         for c in columns
     }
 

@@ -66,7 +66,7 @@ def test_exact_percentile(sold):
 
 def test_hot_keys_and_salted_join(spark, sold):
     skewed = sold.withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("k")))
-    found = skew.hot_keys(skewed, ["k"], skew.SkewPolicy(share=0.2, min_rows=10))["k"]
+    found = skew.hot_keys(skewed, ["k"], skew.SkewPolicy(rows_per_task=skewed.count() // 5))["k"]
     assert found == [1]
     names = spark.range(0, 8).selectExpr("id as k", "concat('n', id) as name")
     for how in ("inner", "left"):
