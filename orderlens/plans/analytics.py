@@ -155,12 +155,7 @@ def cohort(fact_orders: DataFrame, dense: bool = False) -> DataFrame:
             month_label(F.col("cohort_month")).alias("cohort_month_label"),
             month_key(F.col("cohort_month")).alias("cohort_month_key"),
             index.alias("month_index"),
-            F.concat(
-                F.lit("M"),
-                F.when(index < 10, F.lpad(index.cast("string"), 2, "0")).otherwise(
-                    F.substring(index.cast("string"), 1, 2)
-                ),
-            ).alias("month_index_label"),
+            F.format_string("M%02d", index).alias("month_index_label"),
             "activity_month",
             "cohort_size",
             "active_customers",

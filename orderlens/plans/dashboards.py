@@ -1,6 +1,7 @@
 """The queries behind the dashboard charts, over the flat datasets.
 
-Every function takes a mart, which may be a secured one, and optional filters.
+Every function takes a mart and optional filters. The mart may be a secured one, but for the
+charts over tables without a region; see `security.SecuredMart`.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import bands
 from orderlens.functions.exact import mean_of, plain_ratio
 from orderlens.operators.series import one_value
-from orderlens.plans.metrics import FLAT_MEASURES, Filters, dataset, evaluate
+from orderlens.plans.metrics import FLAT_MEASURES, UNRELATED, Filters, dataset, evaluate
 
 
 def _flat(mart, table: str, names: Sequence[str], by: Sequence[str], where: Filters | None) -> DataFrame:
@@ -48,18 +49,20 @@ def ltv_distribution(mart, where: Filters | None = None) -> DataFrame:
     return _flat(mart, "bi_customer", ["customers"], ["ltv_band"], where)
 
 
-def cohort_pivot(mart, months: Sequence[int] = tuple(range(13))) -> DataFrame:
+def cohort_pivot(mart, months: Sequence[int] | None = None) -> DataFrame:
     """Cohorts as rows, months since the first order as columns, no totals.
 
-    The column list is given, so the pivot needs no pass to find it.
+    There is a column for every month that the calendar allows, unless `months` picks some.
     """
-    labels = [f"M{m:02d}" for m in months]
+    if months is None:
+        months = range(mart.dim_date.select("month_start").distinct().count())
     rate = plain_ratio(F.sum("active_customers"), F.sum("cohort_size"))
-    return (
+    wide = (
         mart.cohort.groupBy("cohort_month", "cohort_month_label")
-        .pivot("month_index_label", labels)
+        .pivot("month_index", list(months))
         .agg(rate)
     )
+    return wide.withColumnsRenamed({str(m): f"M{m:02d}" for m in months})
 
 
 def new_vs_returning(mart, where: Filters | None = None) -> DataFrame:
@@ -105,7 +108,7 @@ def revenue_vs_freight(mart) -> DataFrame:
 
 
 def review_by_speed(mart, where: Filters | None = None) -> DataFrame:
-    return (where or Filters()).apply(_orders_for(mart, where)).groupBy(
+    return (where or Filters()).apply(_orders_for(mart, where), UNRELATED["orders"]).groupBy(
         bands.delivery_speed_band(F.col("delivery_days")).alias("delivery_speed_band")
     ).agg(
         mean_of(F.col("review_score"), F.col("is_valid_sale")).alias("avg_review_score"),
@@ -114,7 +117,7 @@ def review_by_speed(mart, where: Filters | None = None) -> DataFrame:
 
 
 def _orders_for(mart, where: Filters | None) -> DataFrame:
-    return dataset(mart, "orders", (where or Filters()).columns())
+    return dataset(mart, "orders", (where or Filters()).columns() - UNRELATED["orders"])
 
 
 def revenue_by_review_band(mart, where: Filters | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import bands
@@ -14,9 +14,9 @@ from orderlens.operators.series import one_value
 from orderlens.plans.mart import Mart
 
 
-def _share(grouped: DataFrame, column: str, digits: int) -> Column:
-    """Percentage of the column's total, as a scalar subquery over the grouped rows."""
-    return pct(F.col(column), one_value(grouped.agg(F.sum(column).alias("t")), F.col("t")), digits)
+def _share(column: str, digits: int) -> Column:
+    """Percentage of the column's total over rows that are already few: states, types, segments."""
+    return pct(F.col(column), F.sum(column).over(Window.partitionBy()), digits)
 
 
 def headline_kpis(mart: Mart) -> DataFrame:
@@ -156,7 +156,7 @@ def speed_bands(mart: Mart) -> DataFrame:
 
 
 def geo_share(mart: Mart, top: int = 12) -> DataFrame:
-    """Orders are summed per state before the state names come in."""
+    """Orders with the names of their states, summed per state; the list of states is small."""
     orders = mart.fact_orders.filter("is_valid_sale")
     places = mart.dim_geo.select(
         F.col("state_code").alias("customer_state_code"), "state_name", "region"
@@ -173,7 +173,7 @@ def geo_share(mart: Mart, top: int = 12) -> DataFrame:
         )
     )
     return (
-        by_state.withColumn("pct_of_revenue", _share(by_state, "revenue", 2))
+        by_state.withColumn("pct_of_revenue", _share("revenue", 2))
         .orderBy(F.col("revenue").desc(), "state_name")
         .limit(top)
     )
@@ -192,7 +192,7 @@ def payment_mix(mart: Mart) -> DataFrame:
             rounded_mean(F.col("review_score")).alias("avg_review"),
         )
     )
-    shared = by_type.withColumn("pct_of_orders", _share(by_type, "orders", 1))
+    shared = by_type.withColumn("pct_of_orders", _share("orders", 1))
     return shared.orderBy("sort_order").drop("sort_order")
 
 
@@ -207,8 +207,8 @@ def rfm_segments(mart: Mart) -> DataFrame:
         )
     )
     return (
-        by_segment.withColumn("pct_of_customers", _share(by_segment, "customers", 1))
-        .withColumn("pct_of_revenue", _share(by_segment, "revenue", 1))
+        by_segment.withColumn("pct_of_customers", _share("customers", 1))
+        .withColumn("pct_of_revenue", _share("revenue", 1))
         .orderBy("segment_rank")
     )
 

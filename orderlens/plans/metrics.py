@@ -11,7 +11,7 @@ import datetime
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.bands import REVIEW_DETRACTOR, REVIEW_PROMOTER
@@ -19,7 +19,6 @@ from orderlens.functions.exact import mean_of, plain_ratio
 from orderlens.operators.grouped import middle_values
 from orderlens.operators.keyed import union_all
 from orderlens.operators.ordering import exact_percentile, global_order
-from orderlens.operators.series import one_value
 from orderlens.plans.mart import Mart
 
 
@@ -260,10 +259,13 @@ class Filters:
     def columns(self) -> set[str]:
         return {column for column, _ in self.conditions()}
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, unrelated: Iterable[str] = ()) -> DataFrame:
+        """Rows that meet the conditions; one on a column that `df` lacks must be named unrelated."""
         for column, condition in self.conditions():
             if column in df.columns:
                 df = df.filter(condition)
+            elif column not in unrelated:
+                raise ValueError(f"the filter on {column} does not reach this table")
         return df
 
 
@@ -276,6 +278,15 @@ _TABLES = {
     "cohort_cells": "cohort",
     "cohort": "cohort",
 }
+_ALL_FILTERS = {"purchase_date", "customer_region", "customer_state", "product_category_group"}
+# The filters that no relation of the model carries to a table: people have no date and no
+# category, orders no category, and the rest is not about customers at all.
+UNRELATED = {
+    "sales": set(),
+    "orders": {"product_category_group"},
+    **dict.fromkeys(("customers", "ltv", "rfm"), {"purchase_date", "product_category_group"}),
+    **dict.fromkeys(("pareto", "cohort_cells", "cohort", "pipeline"), _ALL_FILTERS),
+}
 _DATE_PARTS = {
     "purchase_month": lambda: F.trunc("purchase_date", "month"),
     "purchase_year": lambda: F.year("purchase_date"),
@@ -295,7 +306,11 @@ def dataset(mart: Mart, name: str, columns: Iterable[str], pipeline: DataFrame |
     if name not in _FACTS:
         if name == "customers" and not set(columns) - set(mart.mv_dim_customer.columns):
             return mart.mv_dim_customer
-        return getattr(mart, _TABLES[name])
+        table = getattr(mart, _TABLES[name])
+        if name in ("ltv", "rfm") and set(columns) - set(table.columns):
+            # what is said of a person comes from the person's row
+            return mart.bi_customer.filter("total_orders is not null")
+        return table
     fact_name, flat_name = _FACTS[name]
     wanted, fact = set(columns), getattr(mart, fact_name)
     if wanted & _FACT_ONLY_UNSAFE or wanted - set(fact.columns) - set(_DATE_PARTS):
@@ -368,14 +383,14 @@ def evaluate(
     frames: list[DataFrame] = []
     for source in dict.fromkeys(measures[n].dataset for n in plain):
         mine = [n for n in plain if measures[n].dataset == source]
-        columns = {*by, *where.columns()}
+        columns = {*by, *(where.columns() - UNRELATED[source])}
         if source == "customers" and any(measures[n] is not STAR_MEASURES["repeat_customer_pct"] for n in mine):
             columns.add("lifetime_value")
         table = dataset(mart, source, columns, pipeline)
         missing = [b for b in by if b not in table.columns]
         if missing:
             raise ValueError(f"{source} has no {', '.join(missing)}")
-        rows = where.apply(table)
+        rows = where.apply(table, UNRELATED[source])
         medians = [n for n in mine if isinstance(measures[n], Median)]
         frames += [_median(rows, measures[n].column, by, n) for n in medians]
         aggregates = [n for n in mine if n not in medians]
@@ -420,5 +435,6 @@ def share_of_selection(mart: Mart, by: str, where: Filters | None = None) -> Dat
 
 def segment_share(mart: Mart) -> DataFrame:
     rows = evaluate(mart, ["customers_in_segment", "segment_revenue"], ["rfm_segment"])
-    whole = one_value(rows.agg(F.sum("segment_revenue").alias("t")), _c("t"))
+    # one row per segment
+    whole = F.sum("segment_revenue").over(Window.partitionBy())
     return rows.withColumn("segment_revenue_pct", plain_ratio(_c("segment_revenue"), whole))

@@ -150,7 +150,8 @@ def _ingest_observations(mart: Mart, ingest: IngestState) -> list[DataFrame]:
     passed = up_to_cursor(F.col("purchase_ts"), F.col("order_id"), ingest.last_ts, ingest.last_id)
     skipped = ingest.feed.filter(passed).select("order_id")
     skipped = absent_from(skipped, mart.raw.orders, ["order_id"])
-    logged = ingest.load_errors.select(F.col("record_key").alias("order_id"))
+    logged = ingest.load_errors.filter("source_table = 'seed.orders'")
+    logged = logged.select(F.col("record_key").alias("order_id"))
     loaded = one_value(mart.raw.orders.agg(every.alias("n")), F.col("n"))
     return [
         _observed(moved, ("batch_reject_rate_pct", F.max_by(rate, "batch_id"))),

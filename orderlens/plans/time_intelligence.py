@@ -15,14 +15,15 @@ from orderlens.functions.dates import month_number
 from orderlens.functions.exact import plain_ratio
 from orderlens.operators.series import densify, growth, prior_period, running_sum, trailing
 from orderlens.plans.mart import Mart
-from orderlens.plans.metrics import Filters, dataset
+from orderlens.plans.metrics import UNRELATED, Filters, dataset
 
 REVENUE = {"sales": "item_total", "orders": "order_total"}
 
 
 def _filtered(mart: Mart, source: str, by: Sequence[str], where: Filters | None) -> DataFrame:
     where = where or Filters()
-    rows = where.apply(dataset(mart, source, {*by, *where.columns()}))
+    columns = {*by, *(where.columns() - UNRELATED[source])}
+    rows = where.apply(dataset(mart, source, columns), UNRELATED[source])
     return rows.filter("is_valid_sale")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orderlens.plans import dashboards, security
 from orderlens.plans.mart import Mart
+from orderlens.plans import time_intelligence as over_time
 from orderlens.plans.metrics import STAR_MEASURES, Filters, evaluate
 from orderlens.plans.quality import IngestState, dq_checks
 from orderlens.sources.landing import typed_feed
@@ -114,6 +115,21 @@ def test_users_see_their_regions_everywhere(spark, raw_of):
     got = evaluate(mine, ["total_revenue", "total_orders", "segment_revenue"]).first()
     assert [float(v) for v in got] == [2.0, 1.0, 2.0]
     assert dashboards.revenue_trend(mine).count() == 1
+    assert over_time.yoy_mom(mine).filter("revenue is not null").count() == 1
+    with pytest.raises(AttributeError):
+        dashboards.cohort_pivot(mine)
+
+
+def test_filters_reach_people_or_are_refused(raw_of):
+    mart = build(raw_of, lambda rows: rows["customers"][2].update(customer_state="rs"))
+    south = Filters(regions=["South"])
+    whole = evaluate(mart, ["avg_customer_ltv", "customers_in_segment"]).first()
+    part = evaluate(mart, ["avg_customer_ltv", "customers_in_segment"], where=south).first()
+    assert part.customers_in_segment == 1 < whole.customers_in_segment
+    by = evaluate(mart, ["avg_customer_ltv"], ["customer_region"]).collect()
+    assert {r.customer_region: r.avg_customer_ltv for r in by}["South"] == part.avg_customer_ltv
+    with pytest.raises(ValueError, match="customer_region"):
+        south.apply(mart.dim_date)
 
 
 def test_metrics_agree_with_hand_counts(raw_of):

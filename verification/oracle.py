@@ -86,13 +86,15 @@ def core(by: dict[str, str], sales_where: str = "true", orders_where: str = "tru
   {join.replace(" o", f" (select {names}{ORDERS_CORE} from bi_orders where {orders_where} {group}) o")}""")
 
 
+# Whole years around the test tables' purchases.
+CALENDAR_MONTHS = 84
+
 YEAR = {"purchase_year": "year(purchase_date)"}
 
 COHORT_OUT = f"""
   select cast(cohort_month as varchar) as cohort_month, strftime(cohort_month, '%b %Y') as cohort_month_label,
          cast(strftime(cohort_month, '%Y%m') as bigint) as cohort_month_key, month_index,
-         'M' || case when month_index < 10 then '0' || month_index
-                     else left(cast(month_index as varchar), 2) end as month_index_label,
+         'M' || case when month_index < 10 then '0' else '' end || month_index as month_index_label,
          cast(activity_month as varchar) as activity_month, cohort_size, active_customers,
          {pct("active_customers", "cohort_size", 2)} as retention_pct,
          cast(cohort_revenue as double) as cohort_revenue,
@@ -465,6 +467,25 @@ def oracle_sql() -> dict[str, str]:
             f"""select ltv_band, {avg("lifetime_value")} as avg_customer_ltv,
                   quantile_cont(lifetime_value::double, 0.5) as median_customer_ltv from ltv group by 1"""
         ),
+        "ltv_by_region": query(
+            f"""select customer_region, {avg("lifetime_value")} as avg_customer_ltv,
+                  quantile_cont(lifetime_value::double, 0.5) as median_customer_ltv
+                from bi_customer where total_orders is not null group by 1"""
+        ),
+        "ltv_filtered": query(
+            f"""select customer_state,
+                  {plain("sum(lifetime_value) filter (where customer_percentile <= 20)", "sum(lifetime_value)")}
+                    as top_20_pct_customer_revenue_share,
+                  {avg("lifetime_value")} as avg_customer_ltv,
+                  quantile_cont(lifetime_value::double, 0.5) as median_customer_ltv,
+                  {avg("cast(lifespan_days::double / nullif(total_orders - 1, 0) as decimal(20,10))", "total_orders > 1")}
+                    as avg_days_between_orders
+                from bi_customer where total_orders is not null and customer_region in ('ASIA', 'EUROPE') group by 1"""
+        ),
+        "segments_filtered": query(
+            """select rfm_segment, count(*) as customers_in_segment, cast(sum(monetary) as double) as segment_revenue
+               from bi_customer where total_orders is not null and customer_region in ('ASIA', 'EUROPE') group by 1"""
+        ),
         "retention_weighted": query(f"select {COHORT_METRICS}"),
         "retention_by_cohort": query(f"select cast(cohort_month as varchar) as cohort_month, {COHORT_METRICS} group by 1"),
         "categories_to_80_metric": query(
@@ -637,7 +658,7 @@ def oracle_sql() -> dict[str, str]:
             "select cast(cohort_month as varchar) as cohort_month, strftime(cohort_month, '%b %Y') as cohort_month_label, "
             + ", ".join(
                 f"{plain(f'sum(active_customers) filter (where month_index = {m})', 'max(cohort_size)')} as M{m:02d}"
-                for m in range(13)
+                for m in range(CALENDAR_MONTHS)
             )
             + " from cohort group by 1, 2"
         ),
@@ -736,5 +757,24 @@ def oracle_sql() -> dict[str, str]:
                  cast(sum(order_total) filter (where is_valid_sale) as double) as total_revenue
                from bi_orders where customer_region = 'ASIA' group by 1"""
         ),
+        "rls_yoy_mom": query(
+            """with r as (
+                 select m.month_start, sum(s.item_total) as revenue from months m
+                 left join bi_sales s on s.is_valid_sale and s.customer_region = 'ASIA'
+                   and s.purchase_month = m.month_start group by all)
+               select cast(a.month_start as varchar) as month_start, cast(a.revenue as double) as revenue,
+                 cast(y.revenue as double) as revenue_ly, cast(m.revenue as double) as revenue_pm,
+                 (a.revenue::double - y.revenue::double) / nullif(y.revenue::double, 0) as revenue_yoy_pct,
+                 (a.revenue::double - m.revenue::double) / nullif(m.revenue::double, 0) as revenue_mom_pct
+               from r a left join r y on y.month_start = a.month_start - interval 1 year
+               left join r m on m.month_start = a.month_start - interval 1 month"""
+        ).replace("\nwith r as", ",\nr as"),
+        "rls_running_total": query(
+            """select cast(d.date as varchar) as date, cast(revenue as double) as revenue,
+                 cast(sum(revenue) over (order by d.date) as double) as running_revenue
+               from dim_date d
+               left join (select purchase_date, sum(item_total) as revenue from bi_sales
+                          where is_valid_sale and customer_region = 'ASIA' group by 1) r on r.purchase_date = d.date"""
+        ),
         "rls_unknown_user": query(SEEN.format("false")),
     }
