@@ -27,7 +27,8 @@ from orderlens.plans.metrics import (
 )
 from orderlens.session import at_once, shared_dir
 from orderlens.sources import adapters
-from orderlens.sources.landing import aggregate_geolocation, row_counts
+from orderlens.sources.landing import aggregate_geolocation, load_landing, row_counts
+from orderlens.sources.schemas import LANDING
 from orderlens.streaming import health, rules
 from orderlens.streaming.ingest import Cursor, Ingest, next_window
 
@@ -175,6 +176,23 @@ def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, Callable[[]
     return {name: partial(spark.read.parquet, f"{folder}/landing/{name}") for name in tables}
 
 
+def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as CSV files and landed from them: orders per month, and unreadable ones."""
+    folder = f"{shared_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    tables = adapters.landing_tables(spark, sf_dir)
+    paths = {name: f"{folder}/{name}.csv" for name in ("orders", "customers", "order_items")}
+    for name, path in paths.items():
+        tables[name].select(*LANDING[name].names).write.option("header", True).option("escape", '"').csv(path)
+    landed = load_landing(spark, paths, f"{folder}/landing")
+    orders = landed["orders"].join(landed["customers"].select("customer_id").distinct(), "customer_id", "left_semi")
+    items = landed["order_items"].groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    return portable(
+        orders.join(items, "order_id", "left")
+        .groupBy("purchase_month")
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("n").alias("items"))
+    )
+
+
 def new_ingest(spark: SparkSession, sf_dir: str) -> Ingest:
     folder = f"{shared_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
     return Ingest(spark, folder, land(spark, sf_dir, folder))
@@ -302,6 +320,7 @@ def queries() -> dict[str, Query]:
     return {
         # sources and staging
         "landing_row_counts": landing_row_counts,
+        "csv_landing": csv_landing,
         "geolocation_aggregate": geolocation_aggregate,
         "safe_cast_rejects": safe_cast_rejects,
         "clean_place_text": clean_place_text,

@@ -37,8 +37,7 @@ def _with_calendar(fact: DataFrame, mart: Mart) -> DataFrame:
 
 
 def _with_places(fact: DataFrame, mart: Mart) -> DataFrame:
-    # One row per state.
-    places = mart.dim_geo.select(
+    places = mart.places.select(
         F.col("state_code").alias("customer_state_code"),
         F.col("latitude").alias("customer_latitude"),
         F.col("longitude").alias("customer_longitude"),
@@ -47,7 +46,7 @@ def _with_places(fact: DataFrame, mart: Mart) -> DataFrame:
 
 
 def _with_payment(fact: DataFrame, mart: Mart) -> DataFrame:
-    labels = mart.dim_payment_type.select("payment_type", "payment_type_label")
+    labels = mart.payment_labels.select("payment_type", "payment_type_label")
     method = F.coalesce("payment_type_label", F.lit("Unknown"))
     return fact.join(labels, "payment_type", "left").withColumn("payment_method", method)
 

@@ -158,7 +158,7 @@ def speed_bands(mart: Mart) -> DataFrame:
 def geo_share(mart: Mart, top: int = 12) -> DataFrame:
     """Orders with the names of their states, summed per state; the list of states is small."""
     orders = mart.fact_orders.filter("is_valid_sale")
-    places = mart.dim_geo.select(
+    places = mart.places.select(
         F.col("state_code").alias("customer_state_code"), "state_name", "region"
     )
     by_state = (
@@ -183,7 +183,7 @@ def payment_mix(mart: Mart) -> DataFrame:
     """Orders whose payment type has no label are left out, as in the published table."""
     by_type = (
         mart.fact_orders.filter("is_valid_sale")
-        .join(mart.dim_payment_type, "payment_type")
+        .join(mart.payment_labels, "payment_type")
         .groupBy("payment_type_label", "sort_order")
         .agg(
             F.count(F.lit(1)).alias("orders"),

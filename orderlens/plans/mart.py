@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.operators.small import few
 from orderlens.operators.skew import SkewPolicy, colocate, hot_keys, lookup_join
 from orderlens.plans import analytics, bi, dimensions, facts, staging
 from orderlens.session import cut_lineage
@@ -159,6 +160,16 @@ class Mart:
     def dim_payment_type(self) -> DataFrame:
         return self.raw.payment_types
 
+    # Facts hold a handful of states and payment types, which a shuffle would put into as
+    # many tasks; so these two are joined where the facts lie.
+    @cached_property
+    def places(self) -> DataFrame:
+        return few(self.dim_geo)
+
+    @cached_property
+    def payment_labels(self) -> DataFrame:
+        return few(self.dim_payment_type)
+
     # -- facts -------------------------------------------------------------------
     @cached_property
     def order_sequence(self) -> DataFrame:

@@ -15,13 +15,17 @@ from orderlens.sources.schemas import LANDING
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A CSV with a header as an all-text table; quoted text may hold line breaks."""
+    """A CSV with a header as an all-text table.
+
+    Quoted text of reviews may hold line breaks, so such a file is read by one task; files of
+    the other tables are split.
+    """
     return (
         spark.read.schema(LANDING[table])
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", table == "order_reviews")
         .csv(path)
     )
 

@@ -36,41 +36,82 @@ STATES = (
 )
 REGIONS = ("North", "Northeast", "Central-West", "Southeast", "South")
 
-# Category group -> the category keys in it, spelled as the source spells them.
-CATEGORY_GROUPS = {
-    "Home & Furniture": (
-        "bed_bath_table furniture_decor housewares office_furniture "
-        "kitchen_dining_laundry_garden_furniture furniture_mattress_and_upholstery "
-        "furniture_living_room furniture_bedroom home_confort home_comfort_2 la_cuisine "
-        "flowers christmas_supplies party_supplies art arts_and_craftmanship"
-    ),
-    "Electronics & Computing": (
-        "computers_accessories computers electronics tablets_printing_image audio "
-        "consoles_games cine_photo pc_gamer telephony fixed_telephony"
-    ),
-    "Home Appliances": (
-        "home_appliances home_appliances_2 small_appliances air_conditioning "
-        "small_appliances_home_oven_and_coffee portateis_cozinha_e_preparadores_de_alimentos"
-    ),
-    "Health & Beauty": "health_beauty perfumery diapers_and_hygiene",
-    "Fashion & Accessories": (
-        "fashion_bags_accessories fashion_shoes fashion_male_clothing fashio_female_clothing "
-        "fashion_underwear_beach fashion_sport fashion_childrens_clothes luggage_accessories "
-        "watches_gifts"
-    ),
-    "Sports, Toys & Leisure": (
-        "sports_leisure toys baby musical_instruments music cds_dvds_musicals dvds_blu_ray"
-    ),
-    "Tools & Construction": (
-        "construction_tools_construction costruction_tools_garden costruction_tools_tools "
-        "construction_tools_lights construction_tools_safety garden_tools home_construction "
-        "signaling_and_security security_and_services"
-    ),
-    "Books & Stationery": "books_technical books_general_interest books_imported stationery",
-    "Food & Drink": "food_drink food drinks",
-    "Auto & Industrial": "auto agro_industry_and_commerce industry_commerce_and_business",
-    "Other": "pet_shop cool_stuff market_place",
-}
+# Category key, spelled as the source spells it, and category group.
+CATEGORY_GROUPS = (
+    ("bed_bath_table", "Home & Furniture"),
+    ("furniture_decor", "Home & Furniture"),
+    ("housewares", "Home & Furniture"),
+    ("office_furniture", "Home & Furniture"),
+    ("kitchen_dining_laundry_garden_furniture", "Home & Furniture"),
+    ("furniture_mattress_and_upholstery", "Home & Furniture"),
+    ("furniture_living_room", "Home & Furniture"),
+    ("furniture_bedroom", "Home & Furniture"),
+    ("home_confort", "Home & Furniture"),
+    ("home_comfort_2", "Home & Furniture"),
+    ("la_cuisine", "Home & Furniture"),
+    ("flowers", "Home & Furniture"),
+    ("christmas_supplies", "Home & Furniture"),
+    ("party_supplies", "Home & Furniture"),
+    ("art", "Home & Furniture"),
+    ("arts_and_craftmanship", "Home & Furniture"),
+    ("computers_accessories", "Electronics & Computing"),
+    ("computers", "Electronics & Computing"),
+    ("electronics", "Electronics & Computing"),
+    ("tablets_printing_image", "Electronics & Computing"),
+    ("audio", "Electronics & Computing"),
+    ("consoles_games", "Electronics & Computing"),
+    ("cine_photo", "Electronics & Computing"),
+    ("pc_gamer", "Electronics & Computing"),
+    ("telephony", "Electronics & Computing"),
+    ("fixed_telephony", "Electronics & Computing"),
+    ("home_appliances", "Home Appliances"),
+    ("home_appliances_2", "Home Appliances"),
+    ("small_appliances", "Home Appliances"),
+    ("air_conditioning", "Home Appliances"),
+    ("small_appliances_home_oven_and_coffee", "Home Appliances"),
+    ("portateis_cozinha_e_preparadores_de_alimentos", "Home Appliances"),
+    ("health_beauty", "Health & Beauty"),
+    ("perfumery", "Health & Beauty"),
+    ("diapers_and_hygiene", "Health & Beauty"),
+    ("fashion_bags_accessories", "Fashion & Accessories"),
+    ("fashion_shoes", "Fashion & Accessories"),
+    ("fashion_male_clothing", "Fashion & Accessories"),
+    ("fashio_female_clothing", "Fashion & Accessories"),
+    ("fashion_underwear_beach", "Fashion & Accessories"),
+    ("fashion_sport", "Fashion & Accessories"),
+    ("fashion_childrens_clothes", "Fashion & Accessories"),
+    ("luggage_accessories", "Fashion & Accessories"),
+    ("watches_gifts", "Fashion & Accessories"),
+    ("sports_leisure", "Sports, Toys & Leisure"),
+    ("toys", "Sports, Toys & Leisure"),
+    ("baby", "Sports, Toys & Leisure"),
+    ("musical_instruments", "Sports, Toys & Leisure"),
+    ("music", "Sports, Toys & Leisure"),
+    ("cds_dvds_musicals", "Sports, Toys & Leisure"),
+    ("dvds_blu_ray", "Sports, Toys & Leisure"),
+    ("construction_tools_construction", "Tools & Construction"),
+    ("costruction_tools_garden", "Tools & Construction"),
+    ("costruction_tools_tools", "Tools & Construction"),
+    ("construction_tools_lights", "Tools & Construction"),
+    ("construction_tools_safety", "Tools & Construction"),
+    ("garden_tools", "Tools & Construction"),
+    ("home_construction", "Tools & Construction"),
+    ("signaling_and_security", "Tools & Construction"),
+    ("security_and_services", "Tools & Construction"),
+    ("books_technical", "Books & Stationery"),
+    ("books_general_interest", "Books & Stationery"),
+    ("books_imported", "Books & Stationery"),
+    ("stationery", "Books & Stationery"),
+    ("food_drink", "Food & Drink"),
+    ("food", "Food & Drink"),
+    ("drinks", "Food & Drink"),
+    ("auto", "Auto & Industrial"),
+    ("agro_industry_and_commerce", "Auto & Industrial"),
+    ("industry_commerce_and_business", "Auto & Industrial"),
+    ("pet_shop", "Other"),
+    ("cool_stuff", "Other"),
+    ("market_place", "Other"),
+)
 
 # Payment type, label, sort order.
 PAYMENT_TYPES = (
@@ -86,8 +127,7 @@ def states(spark: SparkSession) -> DataFrame:
 
 
 def category_groups(spark: SparkSession) -> DataFrame:
-    rows = [(key, group) for group, keys in CATEGORY_GROUPS.items() for key in keys.split()]
-    return spark.createDataFrame(rows, "category_en string, category_group string")
+    return spark.createDataFrame(list(CATEGORY_GROUPS), "category_en string, category_group string")
 
 
 def payment_types(spark: SparkSession) -> DataFrame:

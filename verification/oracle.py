@@ -176,6 +176,12 @@ def oracle_sql() -> dict[str, str]:
                  select distinct p_type, p_brand from part where p_type <> 'SMALL')
                union all select 'geolocation', count(distinct zip) from geo_points"""
         ),
+        "csv_landing": query(
+            """select case when k % 109 <> 0 then strftime(purchase_ts, '%Y-%m') end as purchase_month,
+                 count(*) as orders, cast(sum(n) as bigint) as items
+               from src_orders left join (select order_id, count(*) as n from src_items group by 1) using (order_id)
+               where k % 113 <> 0 group by 1"""
+        ),
         "geolocation_aggregate": query(
             """select zip_code_prefix, round(lat, 6) as lat, round(lng, 6) as lng, city, state, sample_count
                from geo_zip"""
