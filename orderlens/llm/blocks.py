@@ -42,8 +42,16 @@ def bounds_of(docs: DataFrame, block_bytes: int) -> list[int]:
     return sorted(set(cuts or []))
 
 
-def packed(docs: DataFrame, bounds: list[int], columns: tuple[str, ...] = ()) -> DataFrame:
-    """Documents as compressed rows of their block, with doc_id, text and `columns`."""
+def packed(
+    docs: DataFrame,
+    bounds: list[int],
+    columns: tuple[str, ...] = (),
+    wanted: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
+    """Documents as compressed rows of their block, with doc_id, text and `columns`.
+
+    `wanted` tells by their ids which documents are needed at all.
+    """
     cuts = np.array(bounds, np.int64)
     names = ["doc_id", "text", *columns]
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
@@ -51,6 +59,10 @@ def packed(docs: DataFrame, bounds: list[int], columns: tuple[str, ...] = ()) ->
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            if wanted is not None:
+                table = table.filter(pa.array(wanted(W.ids(table["doc_id"]))))
+            if not table.num_rows:
+                continue
             block = np.searchsorted(cuts, W.ids(table["doc_id"]), side="right")
             order = np.argsort(block, kind="stable")
             table, block = table.take(order), block[order]

@@ -1,10 +1,11 @@
 """Quality classifier: interpolated modified Kneser-Ney over characters, trained on trusted text.
 
-A word is the sequence of its characters after four start marks and before an end mark; a word
-that repeats the one before it is a mark of its own, so runs of one word are as unlikely as
-they should be. Five-grams of the words of trusted documents (quality label 1) are counted per
-block, summed by gram, and turned into discounted probabilities and backoff weights of all
-orders. The model is never sent around whole: each block asks the shards of `blocks` for the
+A word is the sequence of its characters after start marks and before an end mark; a word
+that repeats the one before it is a mark of its own, and one that repeats it again is another,
+so runs of one word are as unlikely as they should be. The grams of trusted documents (quality
+label 1) are counted per block, summed by gram, and turned into discounted probabilities and
+backoff weights of all orders. A Bloom filter of fixed size keeps most other documents out of
+that shuffle; what it lets through is told apart inside the block. The model is never sent around whole: each block asks the shards of `blocks` for the
 distinct grams its own text has, and the counts meet the questions shard by shard.
 
 A document is accepted while its log perplexity per character is at most its language's
@@ -20,7 +21,7 @@ Columns other than those asked for are ignored; clashing names are the caller's
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,32 +33,47 @@ from orderlens.llm import blocks
 from orderlens.llm import words as W
 from orderlens.session import cut_lineage
 
-ORDER = 5
-QUANTILE, MARGIN = 0.99, 0.5
+ORDER = 4
+QUANTILE, MARGIN = 0.99, 0.25
 ENOUGH = 50
 #: One trusted document in so many is held out of training, for the thresholds.
 HELD_OUT = 8
-BLOCK_BYTES = 16_000_000
-START, END, REPEAT, ODD = "\x02", "\x03", "\x01", "\x04"
-_RECORD = np.dtype([("a", "<f4"), ("g", "<f4")])
+BLOOM_BITS = 24
+BLOCK_BYTES = 10_000_000
+START, END, REPEAT, RUN, ODD = "\x02", "\x03", "\x01", "\x05", "\x06"
+#: Probabilities travel as logarithms in steps of 1 / FINE; 0 stands for none.
+FINE, LEAST = 2_500.0, -26.0
+_RECORD = np.dtype([("a", "<u2"), ("g", "<u2")])
 _SALT = [np.uint64((k + 1) * 0xBF58476D1CE4E5B9 % 2**64) for k in range(ORDER + 1)]
-MODEL = "shard long, key long, a float, g float"
+MODEL = "shard long, key long, a int, g int"
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT == 0
 
 
-def keys(symbols: np.ndarray) -> np.ndarray:
-    """A hash per row of a matrix of code points."""
-    out = np.full(len(symbols), _SALT[symbols.shape[1]])
-    for k in range(symbols.shape[1]):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + symbols[:, k] + np.uint64(1)
+def keys(*symbols: np.ndarray, size: int = 0) -> np.ndarray:
+    """A hash per row of columns of code points."""
+    out = np.full(len(symbols[0]) if symbols else size, _SALT[len(symbols)])
+    for column in symbols:
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += column
+        out += np.uint64(1)
     return W.mixed(out)
 
 
+def coded(chance: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        logs = np.log(chance)
+    return np.where(chance > 0, np.clip(np.rint((logs - LEAST) * FINE), 1, 65_535), 0).astype("<u2")
+
+
+_CHANCE = np.exp(np.arange(65_536) / FINE + LEAST)
+_CHANCE[0] = 0.0
+
+
 class Text:
-    """Documents as distinct words and their five-grams."""
+    """Documents as distinct words and their grams of the highest order."""
 
     def __init__(self, texts: pa.Array):
         self.begins, flat = W.split(texts)
@@ -66,11 +82,14 @@ class Text:
         again[1:] = hashes[1:] == hashes[:-1]
         again[self.begins[:-1][np.diff(self.begins) > 0]] = False
         coded = flat.dictionary_encode() if len(flat) else pa.array([""], pa.large_string()).dictionary_encode()
-        distinct = pa.concat_arrays([coded.dictionary, pa.array([REPEAT], coded.dictionary.type)])
-        self.word = np.where(again, len(coded.dictionary), coded.indices.to_numpy()[: len(flat)])
+        distinct = pa.concat_arrays([coded.dictionary, pa.array([REPEAT, RUN], coded.dictionary.type)])
+        run = again.copy()
+        run[1:] &= again[:-1]
+        mark = len(coded.dictionary) + run
+        self.word = np.where(again, mark, coded.indices.to_numpy()[: len(flat)])
         n = pc.utf8_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
         points = np.frombuffer("".join(distinct.to_pylist()).encode("utf-32-le"), "<u4").copy()
-        points[: len(points) - 1][points[:-1] <= ord(ODD)] = ord(ODD)  # all but the mark of repetition
+        points[: len(points) - 2][points[:-2] <= ord(ODD)] = ord(ODD)  # all but the two marks
         self.size = n + 1
         stops = np.cumsum(n + ORDER)
         padded = np.full(int(stops[-1]), ord(START), np.uint32)
@@ -80,17 +99,18 @@ class Text:
         # where a character or end mark is predicted
         inside = np.repeat(stops - self.size, self.size) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         at = inside + np.arange(int(self.size.sum()))
-        window = np.lib.stride_tricks.sliding_window_view(padded, ORDER)[at - ORDER + 1]
-        hashed = keys(window)
+        size = max(0, len(padded) - ORDER + 1)
+        hashed = keys(*(padded[k : k + size] for k in range(ORDER)))[at - ORDER + 1]
         order = np.argsort(hashed)
         ordered = hashed[order]
         new = np.diff(ordered, prepend=ordered[:1] + np.uint64(1)) != 0
         self.gram = np.empty(len(order), np.int64)
         self.gram[order] = np.cumsum(new) - 1
-        self.grams = np.ascontiguousarray(window[order[new]])
+        first = at[order[new]]
+        self.grams = np.stack([padded[first - ORDER + 1 + k] for k in range(ORDER)], axis=1)
 
     def counts(self, docs: np.ndarray) -> np.ndarray:
-        """Occurrences of each five-gram in the documents that `docs` marks."""
+        """Occurrences of each gram in the documents that `docs` marks."""
         use = np.repeat(docs, np.diff(self.begins))
         per_word = np.bincount(self.word[use], minlength=len(self.size))
         return np.bincount(self.gram, np.repeat(per_word, self.size), len(self.grams)).astype(np.int64)
@@ -99,10 +119,10 @@ class Text:
         return self.grams.view(f"<U{ORDER}").ravel()
 
     def parts(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Keys of each five-gram's ends of length 1 to 5, and of its contexts of length 0 to 4."""
-        g = self.grams
-        ends = [keys(g[:, ORDER - k :]) for k in range(1, ORDER + 1)]
-        contexts = [keys(g[:, ORDER - 1 - k : ORDER - 1]) for k in range(ORDER)]
+        """Keys of each gram's ends, one symbol and longer, and of its contexts, none and longer."""
+        g = [np.ascontiguousarray(c) for c in self.grams.T]
+        ends = [keys(*g[ORDER - k :]) for k in range(1, ORDER + 1)]
+        contexts = [keys(*g[ORDER - 1 - k : ORDER - 1], size=len(self.grams)) for k in range(ORDER)]
         return ends, contexts
 
     def questions(self) -> np.ndarray:
@@ -115,8 +135,8 @@ class Text:
         ends, contexts = self.parts()
         chance = np.ones(len(self.grams))  # the uniform part; its share is in the empty context
         for end, context in zip(ends, contexts):
-            a = said["a"][np.searchsorted(asked, end)]
-            chance = a + said["g"][np.searchsorted(asked, context)] * chance
+            a = _CHANCE[said["a"][np.searchsorted(asked, end)]]
+            chance = a + _CHANCE[said["g"][np.searchsorted(asked, context)]] * chance
         per_gram = np.log(np.maximum(chance, 1e-12))[self.gram]
         stops = np.cumsum(self.size)
         total = np.concatenate([[0.0], np.cumsum(per_gram)])
@@ -142,6 +162,40 @@ def trusted_marks(labels: DataFrame, bounds: list[int]) -> DataFrame:
     return chosen.mapInArrow(place, "block long, doc_id long")
 
 
+def likely(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A Bloom filter of the ids: never False for one of them, seldom True for another."""
+
+    def places(ids: np.ndarray) -> np.ndarray:
+        first = W.mixed(ids.astype(np.uint64))
+        return np.stack([W.mixed(first + np.uint64(k)) >> np.uint64(64 - BLOOM_BITS) for k in range(3)])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(2**BLOOM_BITS, bool)
+        for batch in batches:
+            bits[places(W.ids(batch.column("doc_id")))] = True
+        one = pa.array([0], pa.int32())
+        yield pa.record_batch([one, pa.array([blocks.squeezed(np.packbits(bits))])], names=["one", "bits"])
+
+    def merge(rows):
+        whole = np.zeros(2**BLOOM_BITS // 8, np.uint8)
+        for part in rows["bits"]:  # one at a time
+            whole |= blocks.spread(part.as_py(), np.uint8)
+        return pa.table({"bits": pa.array([blocks.squeezed(whole)], pa.binary())})
+
+    row = ids.mapInArrow(fill, "one int, bits binary").groupBy("one").applyInArrow(merge, "bits binary").first()
+    empty = np.zeros(2**BLOOM_BITS // 8, np.uint8)
+    data = blocks.squeezed(empty) if row is None else bytes(row[0])
+    shared = ids.sparkSession.sparkContext.broadcast(data)  # of fixed size
+    opened: list[np.ndarray] = []
+
+    def wanted(ids: np.ndarray) -> np.ndarray:
+        if not opened:
+            opened.append(np.unpackbits(blocks.spread(shared.value, np.uint8)).astype(bool))
+        return opened[0][places(ids)].all(axis=0)
+
+    return wanted
+
+
 def trusted(labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and quality is not null")
     return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
@@ -159,8 +213,8 @@ def grams_of_order(longer: DataFrame) -> DataFrame:
 
 
 def model(counted: DataFrame, shards: int) -> DataFrame:
-    """Rows of MODEL from the counts (gram, n) of five-grams."""
-    grams = {ORDER: counted.groupBy("gram").agg(F.sum("n").alias("n"))}
+    """Rows of MODEL from the counts (gram, n) of the highest order, one row per gram."""
+    grams = {ORDER: counted}
     for k in range(ORDER - 1, 0, -1):
         grams[k] = grams_of_order(grams[k + 1])
     parts = []
@@ -202,12 +256,14 @@ def model(counted: DataFrame, shards: int) -> DataFrame:
         cuts = blocks.shard_cuts(shards)
         for batch in batches:
             n = pc.utf8_length(batch.column("gram")).to_numpy(zero_copy_only=False)
-            a = pc.fill_null(batch.column("a"), 0.0).to_numpy(zero_copy_only=False).astype(np.float32)
-            g = pc.fill_null(batch.column("g"), 1.0).to_numpy(zero_copy_only=False).astype(np.float32)
+            a = pc.fill_null(batch.column("a"), 0.0).to_numpy(zero_copy_only=False)
+            g = pc.fill_null(batch.column("g"), 1.0).to_numpy(zero_copy_only=False)
+            a, g = coded(a).astype(np.int32), coded(g).astype(np.int32)
             for size in range(ORDER + 1):
                 at = np.flatnonzero(n == size)
                 text = "".join(batch.column("gram").take(pa.array(at)).to_pylist())
-                hashed = keys(np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(at), size))
+                points = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(at), size)
+                hashed = keys(*points.T, size=len(at))
                 shard = np.searchsorted(cuts, hashed, side="right")
                 yield pa.record_batch(
                     [pa.array(shard), pa.array(hashed.view(np.int64)), pa.array(a[at]), pa.array(g[at])],
@@ -256,9 +312,10 @@ def perplexities(
         made["log_perplexity"] = pa.array(rate, mask=size == 0)
         return pa.table(made)
 
-    counted = packed.groupBy("block").cogroup(trusted_marks(labels, bounds).groupBy("block")).applyInArrow(
-        count, "gram string, n long"
-    )
+    marks = cut_lineage(trusted_marks(labels, bounds))
+    lessons = blocks.packed(docs, bounds, wanted=likely(marks.select("doc_id")))
+    counted = lessons.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, "gram string, n long")
+    counted = cut_lineage(counted.groupBy("gram").agg(F.sum("n").alias("n")))
     asked = packed.groupBy("block").applyInArrow(ask, blocks.ASKED)
     answered = asked.groupBy("shard").cogroup(model(counted, shards).groupBy("shard")).applyInArrow(
         answer, blocks.ANSWERED
@@ -275,7 +332,7 @@ def _looked_up(rows: pa.Table, known: pa.Table) -> pa.Table:
     record = np.empty(len(own) + 1, _RECORD)
     for name in ("a", "g"):
         record[name][:-1] = known[name].to_numpy()[order]
-    record[-1] = (0.0, 1.0)
+    record[-1] = (0, coded(np.ones(1))[0])
     said = []
     for data in rows["hashes"].to_pylist():
         asked = blocks.decoded(data)
