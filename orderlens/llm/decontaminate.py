@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. The n-grams of the test items are counted over all documents. Those in at most RARE of
-   the documents are seeds; the rest are phrases of the language. Every item keeps its KEPT
-   rarest n-grams whatever their frequency, so an item copied everywhere is still found.
+1. The n-grams of the test items are counted over all documents. Those in few documents
+   (RARE of all, or RARE_DOCS) are seeds; the rest are phrases of the language. Every item
+   keeps those of at most USUAL times its own median frequency too, which are at least half,
+   so an item copied everywhere is still found, edited copies included.
 2. Documents are searched for the seeds, which are broadcast AT_ONCE at most; a larger
    benchmark is searched in as many parts. Seeds of one item that follow each other closely
    in a document form one passage, cut out with some words on either side.
@@ -28,7 +29,7 @@ from orderlens.llm import words as W
 from orderlens.llm.toxicity import bare_words
 
 SEED = 3
-RARE, KEPT = 0.001, 8
+RARE, RARE_DOCS, USUAL = 0.001, 100, 2
 #: Item words broadcast at once: some 40 bytes each.
 AT_ONCE = 500_000
 #: Points of the alignment: equal words, different words, a word too many on either side.
@@ -77,12 +78,12 @@ class Items:
 
     def rare(self, documents: dict[int, int], rows: int) -> Items:
         """Only the n-grams that serve as seeds."""
-        n = np.array([documents.get(x, 0) for x in self.grams.view(np.int64).tolist()])
-        order = np.lexsort((self.at, n, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
-        keep = np.zeros(len(order), bool)
-        keep[order] = rank < KEPT
-        keep |= n <= RARE * rows
+        n = np.array([documents.get(x, 0) for x in self.grams.view(np.int64).tolist()], np.int64)
+        order = np.lexsort((n, self.item))
+        starts = np.searchsorted(self.item[order], np.arange(len(self.words)))
+        sizes = np.bincount(self.item, minlength=len(self.words))
+        median = n[order[np.minimum(starts + sizes // 2, max(0, len(n) - 1))]] if len(n) else n
+        keep = n <= np.maximum(max(RARE * rows, RARE_DOCS), USUAL * median[self.item])
         self.grams, self.item, self.at = self.grams[keep], self.item[keep], self.at[keep]
         return self
 

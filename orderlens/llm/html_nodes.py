@@ -37,6 +37,9 @@ AGAINST = set(
     "more trending popular pagination pager search form hidden tags toolbar skip".split()
 )
 FOR = set("article content contents post entry story body main prose hentry maincontent".split())
+#: Tags that say the same by themselves. A header may be the article's own.
+TAGS_AGAINST = KINDS[0] | KINDS[2] | KINDS[3] | KINDS[5] | KINDS[11]
+TAGS_FOR = KINDS[4]
 _TOKEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 FEATURES = 16 + 3 * len(KINDS)
 
@@ -101,8 +104,8 @@ class Page(HTMLParser):
         self.parents.append(self.stack[-2][1])
         self.tags.append(tag)
         self.controls.append(0)
-        self.against.append(len(words & AGAINST))
-        self.favour.append(len(words & FOR))
+        self.against.append(len(words & AGAINST) + (tag in TAGS_AGAINST))
+        self.favour.append(len(words & FOR) + (tag in TAGS_FOR))
 
     @staticmethod
     def _words(attrs) -> set[str]:
@@ -200,11 +203,8 @@ class Page(HTMLParser):
         label, inside, outside = np.zeros(n, int), np.zeros(n, bool), np.zeros(n, bool)
         for k in range(1, n):
             p = self.parents[k]
-            article = self.tags[k] in KINDS[4] or (self.favour[k] and not self.against[k])
-            out = bool(self.against[k]) or (
-                next((i for i, g in enumerate(KINDS) if self.tags[k] in g), -1) in (0, 2, 3, 5, 11)
-                or (self.tags[k] == "header" and not inside[p])
-            )
+            article = self.favour[k] and not self.against[k]
+            out = bool(self.against[k]) or (self.tags[k] == "header" and not inside[p])
             outside[k] = outside[p] or out
             inside[k] = (inside[p] or article) and not outside[k]
             label[k] = inside[k]
