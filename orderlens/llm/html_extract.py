@@ -46,6 +46,8 @@ EXTRA = [
     '<div class="related"><h4>{a}</h4><a href="#">{b}</a> <a href="#">{c}</a></div>',
     '<div class="newsletter"><p>{b}</p><input type="email"></div>',
     '<header class="site-header"><p>{b}</p><nav><a href="#">{a}</a></nav></header>',
+    '<header><p>{b}</p></header>',
+    '<header><h2>{a}</h2><p>{b}</p></header>',
     '<footer><p>{b}</p><p>{c}</p></footer>',
     '<div role="alert"><p>{b}</p></div>',
 ]
