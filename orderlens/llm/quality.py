@@ -9,8 +9,10 @@ that shuffle; what it lets through is told apart inside the block. The model is
 distinct grams its own text has, and the counts meet the questions shard by shard.
 
 A document is accepted while its log perplexity per character is at most its language's
-threshold: MARGIN above the QUANTILE of the trusted documents of that language that were held
-out of training. Languages with fewer than ENOUGH of those use the quantile of all languages.
+threshold: the QUANTILE of the n trusted documents of that language that were held out of
+training, plus MARGIN, plus SPREAD / sqrt(n) as few documents tell a quantile badly. Languages
+with fewer than ENOUGH of those use the threshold of all together if it is higher, and
+languages without any are accepted.
 
 Defined results: null and empty texts have no characters, no perplexity, and are accepted, as
 nothing speaks against them; a doc_id with contradicting labels is not trusted; null labels and
@@ -31,10 +33,11 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import blocks
 from orderlens.llm import words as W
+from orderlens.operators.small import few
 from orderlens.session import cut_lineage
 
 ORDER = 4
-QUANTILE, MARGIN = 0.99, 0.25
+QUANTILE, MARGIN, SPREAD = 0.99, 0.2, 3.0
 ENOUGH = 50
 #: One trusted document in so many is held out of training, for the thresholds.
 HELD_OUT = 8
@@ -342,27 +345,25 @@ def _looked_up(rows: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table([rows["block"], rows["shard"], pa.array(said, pa.binary())], names=["block", "shard", "answer"])
 
 
-def thresholds(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
-    """Log perplexity up to which documents are accepted: by language, and for all others."""
+def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """(_lang, threshold): log perplexity up to which documents are accepted."""
     teachers = trusted(labels).where(held_out(F.col("doc_id"))).select("doc_id")
     known = scored.where("log_perplexity is not null").join(teachers, "doc_id")
-    limit = (F.percentile_approx("log_perplexity", F.lit(QUANTILE), F.lit(10_000)) + MARGIN).alias("threshold")
-    by = known.groupBy(F.col("lang").alias("_lang")).agg(limit, F.count(F.lit(1)).alias("n"))
-    rest = known.agg(limit).first()[0]
-    return by.where(F.col("n") >= ENOUGH).drop("n"), rest
+    n = F.count(F.lit(1))
+    limit = F.percentile_approx("log_perplexity", F.lit(QUANTILE), F.lit(10_000)) + MARGIN + SPREAD / F.sqrt(n)
+    rest = known.agg(limit.alias("threshold")).first()[0]
+    own = F.when(F.col("n") >= ENOUGH, F.col("own")).otherwise(F.greatest("own", F.lit(rest).cast("double")))
+    by = known.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("own"), n.alias("n"))
+    return by.select("_lang", own.alias("threshold"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("lang",)) -> DataFrame:
     """Rows of `perplexities` with threshold and accepted; `lang` must be among the columns."""
     scored = cut_lineage(perplexities(docs, labels, columns))
-    by, rest = thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels)
-    limit = F.coalesce("threshold", F.lit(rest).cast("double"))
-    low = F.col("log_perplexity") <= F.col("limit")
-    # one row per language with enough trusted documents; ENOUGH of them each bound their number
+    by = few(thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels))  # one row per language
+    low = F.col("log_perplexity") <= F.col("threshold")
     return (
-        scored.join(by.hint("broadcast") if rest is not None else by, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .withColumn("limit", limit)
+        scored.join(by, F.col("lang").eqNullSafe(F.col("_lang")), "left")
         .withColumn("accepted", F.coalesce(low, F.lit(True)))
-        .drop("_lang", "threshold")
-        .withColumnRenamed("limit", "threshold")
+        .drop("_lang")
     )
