@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import words as W
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 5_000_000
 ROW_BYTES = 2_000_000
 PACKED = "block long, docs binary"
 ASKED = "shard long, block long, n long, hashes binary, extra binary"
@@ -190,13 +190,13 @@ def exchange(
     """
 
     def ask_block(key, rows):
-        return ask(key[0].as_py(), loaded(rows))
+        return W.tidy(ask(key[0].as_py(), loaded(rows)))
 
     def answer_shard(rows):
-        return answers(rows, rule)
+        return W.tidy(answers(rows, rule))
 
     def finish_block(key, rows, said):
-        return finish(key[0].as_py(), loaded(rows), said)
+        return W.tidy(finish(key[0].as_py(), loaded(rows), said))
 
     asked = docs.groupBy("block").applyInArrow(ask_block, ASKED)
     answered = asked.groupBy("shard").applyInArrow(answer_shard, ANSWERED)

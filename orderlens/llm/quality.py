@@ -42,7 +42,7 @@ ENOUGH = 50
 #: One trusted document in so many is held out of training, for the thresholds.
 HELD_OUT = 8
 BLOOM_BITS = 24
-BLOCK_BYTES = 10_000_000
+BLOCK_BYTES = 8_000_000
 START, END, REPEAT, RUN, ODD = "\x02", "\x03", "\x01", "\x05", "\x06"
 #: Probabilities travel as logarithms in steps of 1 / FINE; 0 stands for none.
 FINE, LEAST = 2_500.0, -26.0
@@ -296,10 +296,11 @@ def perplexities(
         text = Text(W.whole(table["text"].filter(teaches)))
         n = text.counts(np.ones(len(text.begins) - 1, bool))
         some = np.flatnonzero(n)
-        return pa.table({"gram": pa.array(text.strings()[some].tolist(), pa.string()), "n": pa.array(n[some])})
+        return W.tidy(pa.table({"gram": pa.array(text.strings()[some].tolist(), pa.string()), "n": pa.array(n[some])}))
 
     def ask(key, rows):
-        return blocks.questions(key[0].as_py(), Text(W.whole(blocks.loaded(rows)["text"])).questions(), shards)
+        asked = Text(W.whole(blocks.loaded(rows)["text"])).questions()
+        return W.tidy(blocks.questions(key[0].as_py(), asked, shards))
 
     def answer(key, rows, known):
         return _looked_up(rows, known)
@@ -313,7 +314,7 @@ def perplexities(
         made = {c: table[c] for c in out}
         made["symbols"] = pa.array(size)
         made["log_perplexity"] = pa.array(rate, mask=size == 0)
-        return pa.table(made)
+        return W.tidy(pa.table(made))
 
     marks = cut_lineage(trusted_marks(labels, bounds))
     lessons = blocks.packed(docs, bounds, wanted=likely(marks.select("doc_id")))

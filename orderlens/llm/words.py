@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -77,6 +79,18 @@ def ids(column) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), LAST_ID).to_numpy(zero_copy_only=False)
 
 
+def tidy(result):
+    """`result`, after memory that earlier steps of this worker freed went back to the system.
+
+    Workers live long and their allocators keep what the largest block once took.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+    return result
+
+
 def pieces(batch: pa.RecordBatch, most: int = 8_000_000):
     """The batch in slices of at most `most` bytes of text (or one row)."""
     size = np.cumsum(pc.binary_length(whole(batch.column("text"))).to_numpy(zero_copy_only=False).astype(np.int64))
