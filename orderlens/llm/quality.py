@@ -9,15 +9,15 @@ that shuffle; what it lets through is told apart inside the block. The model is
 distinct grams its own text has, and the counts meet the questions shard by shard.
 
 A document is accepted while its log perplexity per character is at most its language's
-threshold: the QUANTILE of the n trusted documents of that language that were held out of
-training, plus MARGIN, plus SPREAD / sqrt(n) as few documents tell a quantile badly. Languages
-with fewer than ENOUGH of those use the threshold of all together if it is higher, and
-languages without any are accepted.
+threshold: MARGIN above the QUANTILE of the trusted documents of that language that were held
+out of training. Languages with fewer than ENOUGH of those, none and null included, use the
+greater of their own and all languages' quantile, and FEW_MARGIN above it, as a model that saw
+little of a language finds its good text less likely, too. Neither depends on their number.
 
 Defined results: null and empty texts have no characters, no perplexity, and are accepted, as
 nothing speaks against them; a doc_id with contradicting labels is not trusted; null labels and
 ids teach nothing; a null language is a language of its own; without trusted documents all
-characters are equally likely and all documents are accepted. Repeated rows are judged alike.
+characters are equally likely and all documents are accepted, as they are if none was held out. Repeated rows are judged alike.
 Columns other than those asked for are ignored; clashing names are the caller's to rename.
 """
 
@@ -37,8 +37,8 @@ from orderlens.operators.small import few
 from orderlens.session import cut_lineage
 
 ORDER = 4
-QUANTILE, MARGIN, SPREAD = 0.99, 0.2, 3.0
-ENOUGH = 50
+QUANTILE, MARGIN, FEW_MARGIN = 0.99, 0.25, 0.3
+ENOUGH = 30
 #: One trusted document in so many is held out of training, for the thresholds.
 HELD_OUT = 8
 BLOOM_BITS = 24
@@ -346,25 +346,26 @@ def _looked_up(rows: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table([rows["block"], rows["shard"], pa.array(said, pa.binary())], names=["block", "shard", "answer"])
 
 
-def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
-    """(_lang, threshold): log perplexity up to which documents are accepted."""
+def thresholds(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
+    """(_lang, own): log perplexity up to which documents are accepted; and the limit of all others."""
     teachers = trusted(labels).where(held_out(F.col("doc_id"))).select("doc_id")
     known = scored.where("log_perplexity is not null").join(teachers, "doc_id")
-    n = F.count(F.lit(1))
-    limit = F.percentile_approx("log_perplexity", F.lit(QUANTILE), F.lit(10_000)) + MARGIN + SPREAD / F.sqrt(n)
-    rest = known.agg(limit.alias("threshold")).first()[0]
-    own = F.when(F.col("n") >= ENOUGH, F.col("own")).otherwise(F.greatest("own", F.lit(rest).cast("double")))
-    by = known.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("own"), n.alias("n"))
-    return by.select("_lang", own.alias("threshold"))
+    quantile = F.percentile_approx("log_perplexity", F.lit(QUANTILE), F.lit(10_000))
+    overall = known.agg(quantile).first()[0]
+    by = known.groupBy(F.col("lang").alias("_lang")).agg(quantile.alias("q"), F.count(F.lit(1)).alias("n"))
+    few_of = F.greatest("q", F.lit(overall).cast("double")) + FEW_MARGIN
+    own = F.when(F.col("n") >= ENOUGH, F.col("q") + MARGIN).otherwise(few_of)
+    return by.select("_lang", own.alias("own")), None if overall is None else overall + FEW_MARGIN
 
 
 def judged(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("lang",)) -> DataFrame:
     """Rows of `perplexities` with threshold and accepted; `lang` must be among the columns."""
     scored = cut_lineage(perplexities(docs, labels, columns))
-    by = few(thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels))  # one row per language
+    by, others = thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels)
     low = F.col("log_perplexity") <= F.col("threshold")
     return (
-        scored.join(by, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        scored.join(few(by), F.col("lang").eqNullSafe(F.col("_lang")), "left")  # one row per language
+        .withColumn("threshold", F.coalesce("own", F.lit(others).cast("double")))
         .withColumn("accepted", F.coalesce(low, F.lit(True)))
-        .drop("_lang")
+        .drop("_lang", "own")
     )

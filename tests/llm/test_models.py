@@ -121,6 +121,23 @@ def test_quality_without_teachers_or_documents(spark, documents):
     assert quality.judged(documents([]), none).count() == 0
 
 
+def test_bad_documents_of_a_small_table_go(spark):
+    docs, known = table(spark, "documents"), table(spark, "labels")
+    rows = quality.judged(docs, known).join(known, "doc_id").collect()
+    assert all(r.threshold is not None for r in rows)  # fr and es have no held-out teachers
+    assert all(r.accepted for r in rows if r.quality == 1)
+    assert sum(r.accepted for r in rows if r.quality == 0) <= 1
+
+
+def test_unlabelled_and_null_languages_are_judged(spark):
+    docs, known = table(spark, "documents"), table(spark, "labels")
+    bad = [r.doc_id for r in known.where("quality = 0").collect()]
+    odd = F.when(F.col("doc_id").isin(bad[::2]), F.lit(None)).when(F.col("doc_id").isin(bad[1::2]), F.lit("xx"))
+    lang = F.when(F.col("doc_id").isin(bad), odd).otherwise(F.col("lang"))
+    rows = quality.judged(docs.withColumn("lang", lang), known).where(F.col("doc_id").isin(bad)).collect()
+    assert len(rows) == len(bad) and sum(r.accepted for r in rows) <= 1
+
+
 # --- toxicity ------------------------------------------------------------------------------
 
 
