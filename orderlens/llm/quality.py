@@ -1,7 +1,8 @@
 """Quality classifier: interpolated modified Kneser-Ney over characters, trained on trusted text.
 
-A word is the sequence of its characters after start marks and before an end mark; a word
-that repeats the one before it is a mark of its own, and one that repeats it again is another,
+A text is the sequence of its words' characters, each word with an end mark, after start marks,
+so the last characters of a word and where it ends tell how the next one begins; a word that
+repeats the one before it is a mark of its own, and one that repeats it again is another,
 so runs of one word are as unlikely as they should be. The grams of trusted documents (quality
 label 1) are counted per block, summed by gram, and turned into discounted probabilities and
 backoff weights of all orders. A Bloom filter of fixed size keeps most other documents out of
@@ -36,7 +37,7 @@ from orderlens.llm import words as W
 from orderlens.operators.small import few
 from orderlens.session import cut_lineage
 
-ORDER = 4
+ORDER = 5
 QUANTILE, MARGIN, FEW_MARGIN = 0.99, 0.25, 0.3
 ENOUGH = 30
 #: One trusted document in so many is held out of training, for the thresholds.
@@ -76,9 +77,12 @@ _CHANCE[0] = 0.0
 
 
 class Text:
-    """Documents as distinct words and their grams of the highest order."""
+    """Documents as distinct words, each after the symbols before it, and their grams.
 
-    def __init__(self, texts: pa.Array):
+    With `across`, those symbols are the end of the text so far; without, all are start marks.
+    """
+
+    def __init__(self, texts: pa.Array, across: bool = True):
         self.begins, flat = W.split(texts)
         hashes = W.hashed(flat)
         again = np.zeros(len(hashes), bool)
@@ -93,12 +97,17 @@ class Text:
         n = pc.utf8_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
         points = np.frombuffer("".join(distinct.to_pylist()).encode("utf-32-le"), "<u4").copy()
         points[: len(points) - 2][points[:-2] <= ord(ODD)] = ord(ODD)  # all but the two marks
+        before = np.full((len(n), ORDER - 1), ord(START), np.uint32)
+        if across and len(self.word):
+            before, n, points = self._in_context(n, points)
         self.size = n + 1
         stops = np.cumsum(n + ORDER)
         padded = np.full(int(stops[-1]), ord(START), np.uint32)
         padded[stops - 1] = ord(END)
         first = np.repeat(stops - n - 1, n) - np.repeat(np.cumsum(n) - n, n)
         padded[first + np.arange(len(points))] = points
+        for k in range(1, ORDER):
+            padded[stops - 1 - n - k] = before[:, ORDER - 1 - k]
         # where a character or end mark is predicted
         inside = np.repeat(stops - self.size, self.size) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         at = inside + np.arange(int(self.size.sum()))
@@ -112,6 +121,33 @@ class Text:
         first = at[order[new]]
         self.grams = np.stack([padded[first - ORDER + 1 + k] for k in range(ORDER)], axis=1)
 
+    def _in_context(self, n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words become distinct pairs of the ORDER - 1 symbols before a word and the word.
+
+        Returns those symbols, and the lengths and characters of the pairs' words.
+        """
+        starts = np.cumsum(n) - n
+        floor = np.repeat(self.begins[:-1], np.diff(self.begins))  # first word of the document
+        at = np.arange(len(self.word)) - 1  # the word that the symbol is in
+        left = np.where(at >= floor, n[self.word[at]], 0)  # its place in that word; n is the end mark
+        symbols = np.full((len(self.word), ORDER - 1), ord(START), np.uint32)
+        for k in range(1, ORDER):
+            own = self.word[np.maximum(at, 0)]
+            inside = points[np.minimum(starts[own] + left, len(points) - 1)]
+            symbol = np.where(left == n[own], np.uint32(ord(END)), inside)
+            symbols[:, ORDER - 1 - k] = np.where(at >= floor, symbol, np.uint32(ord(START)))
+            left = left - 1
+            past = left < 0
+            at = at - past
+            left = np.where(past, n[self.word[np.maximum(at, 0)]], left)
+        pairs = keys(*symbols.T, self.word.astype(np.uint64))
+        _, chosen, place = np.unique(pairs, return_index=True, return_inverse=True)
+        words = self.word[chosen]
+        n, starts = n[words], starts[words]
+        self.word = place.ravel()
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return symbols[chosen], n, points[np.repeat(starts, n) + within]
+
     def counts(self, docs: np.ndarray) -> np.ndarray:
         """Occurrences of each gram in the documents that `docs` marks."""
         use = np.repeat(docs, np.diff(self.begins))
@@ -225,7 +261,7 @@ def model(counted: DataFrame, shards: int) -> DataFrame:
         of = lambda i: F.sum((F.col("n") == i).cast("long"))
         # one row per order
         rates = table.agg(*(of(i).alias(f"n{i}") for i in (1, 2, 3, 4)), F.count(F.lit(1)).alias("types"))
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
         rates = rates.select(
             F.lit(1).alias("one"),
             *(
@@ -277,9 +313,16 @@ def model(counted: DataFrame, shards: int) -> DataFrame:
 
 
 def perplexities(
-    docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("lang",), block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    labels: DataFrame,
+    columns: tuple[str, ...] = ("lang",),
+    block_bytes: int = BLOCK_BYTES,
+    across: bool = False,
 ) -> DataFrame:
-    """doc_id, `columns`, text if asked for among them, symbols, log_perplexity (null if no symbols)."""
+    """doc_id, `columns`, text if asked for among them, symbols, log_perplexity (null if no symbols).
+
+    `across` carries the context from word to word; without it each word stands by itself.
+    """
     bounds = blocks.bounds_of(docs, block_bytes)
     shards = len(bounds) + 1
     carried = tuple(c for c in columns if c not in ("doc_id", "text"))
@@ -293,13 +336,13 @@ def perplexities(
         table = blocks.loaded(rows)
         teaches = pc.is_in(table["doc_id"], value_set=marks["doc_id"].combine_chunks())
         # only what teaches is read at all
-        text = Text(W.whole(table["text"].filter(teaches)))
+        text = Text(W.whole(table["text"].filter(teaches)), across)
         n = text.counts(np.ones(len(text.begins) - 1, bool))
         some = np.flatnonzero(n)
         return W.tidy(pa.table({"gram": pa.array(text.strings()[some].tolist(), pa.string()), "n": pa.array(n[some])}))
 
     def ask(key, rows):
-        asked = Text(W.whole(blocks.loaded(rows)["text"])).questions()
+        asked = Text(W.whole(blocks.loaded(rows)["text"]), across).questions()
         return W.tidy(blocks.questions(key[0].as_py(), asked, shards))
 
     def answer(key, rows, known):
@@ -307,7 +350,7 @@ def perplexities(
 
     def finish(key, rows, said):
         table = blocks.loaded(rows)
-        text = Text(W.whole(table["text"]))
+        text = Text(W.whole(table["text"]), across)
         size, total = text.log_probability(text.questions(), blocks.heard(said, _RECORD))
         with np.errstate(divide="ignore", invalid="ignore"):
             rate = np.where(size > 0, -total / size, np.nan)
@@ -360,7 +403,7 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, float |
 
 def judged(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("lang",)) -> DataFrame:
     """Rows of `perplexities` with threshold and accepted; `lang` must be among the columns."""
-    scored = cut_lineage(perplexities(docs, labels, columns))
+    scored = cut_lineage(perplexities(docs, labels, columns, across=True))
     by, others = thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels)
     low = F.col("log_perplexity") <= F.col("threshold")
     return (

@@ -106,6 +106,35 @@ def test_quality_equals_the_textbook(spark, block_bytes):
         assert r.log_perplexity == pytest.approx(rate(texts[r.doc_id]), rel=1e-3)
 
 
+def stream(text):
+    """All words of a text after one another, as `kneser_ney` reads a single word."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    again = [k > 0 and w[k] == w[k - 1] for k in range(len(w))]
+    marks = [x if not again[k] else "\x05" if again[k - 1] else "\x01" for k, x in enumerate(w)]
+    return "\x03".join(marks)
+
+
+def test_quality_across_words_equals_the_textbook(spark):
+    docs, known = table(spark, "documents"), table(spark, "labels")
+    teachers = quality.trusted(known).where(~quality.held_out(F.col("doc_id"))).select("doc_id")
+    rate = kneser_ney([stream(r.text) for r in docs.join(teachers, "doc_id").select("text").collect()])
+    scored = quality.perplexities(docs, known, block_bytes=20_000, across=True).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(scored) == len(texts)
+    for r in scored[::7]:
+        assert r.log_perplexity == pytest.approx(rate(stream(texts[r.doc_id])), rel=1e-3)
+
+
+def test_usual_words_in_the_wrong_order_are_less_likely(spark, documents):
+    words = [f"{'abcdefgh'[k % 8]}{'xyz'[k % 3]}" for k in range(24)]
+    turned = " ".join(words[::-1])
+    rows = [(k, " ".join(words)) for k in range(20)] + [(100, turned)]
+    known = labels(spark, [(k, 1) for k in range(20)], "quality")
+    found = {r.doc_id: r for r in quality.judged(documents(rows), known).collect()}
+    assert found[100].log_perplexity > 3 * found[0].log_perplexity
+    assert found[0].accepted and not found[100].accepted
+
+
 def test_quality_of_awkward_rows(spark, documents, awkward):
     known = labels(spark, [(5, 1), (5, None), (7, 1), (8, 1), (8, 0), (None, 1), (99, 1)], "quality")
     docs = documents(awkward).drop("n_chars").withColumnRenamed("source", "symbols_of")
