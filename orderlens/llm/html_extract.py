@@ -14,7 +14,9 @@ paragraph cannot survive inside a menu, nor the article without its container.
 Defined results: null and empty pages, and pages without an article, give an empty text; broken
 markup is read as browsers do; white space inside a block is one space, and blocks are joined
 by two line feeds. Repeated rows give equal rows. Without any page whose markup names an
-article, nodes are judged by that markup alone, so all texts are empty. Other columns are ignored.
+article, elements are kept but for those that markup speaks against. Text outside all elements
+is in an implied body, and an unclosed silent element (object, video, ...) ends with the one
+around it. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -85,11 +87,22 @@ def _lessons(html: str, page_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 
 def lessons(pages: DataFrame, most: int) -> DataFrame:
-    """Rows of NODES from about `most` pages, chosen by a hash of their ids."""
-    every = max(1, pages.count() // most)
-    chosen = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0).select(
-        F.col("page_id").cast("long").alias("page_id"), "html"
-    )
+    """Rows of NODES from about `most` of the pages that name their article, by a hash of ids and pages."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = [html is not None and Page(html).taught() is not None for html in batch.column("html").to_pylist()]
+            yield batch.filter(pa.array(named, pa.bool_()))
+
+    narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), "html")
+    place = F.xxhash64("page_id", "html")
+    every = max(1, narrow.count() // most)
+    chosen = narrow.where(F.pmod(place, F.lit(every)) == 0).mapInArrow(look, "page_id long, html string")
+    if every > 1 and chosen.limit(most // 2).count() < most // 2:
+        # few of the sample are marked, so all pages are looked at, and the marked ones sampled
+        marked = cut_lineage(narrow.mapInArrow(look, "page_id long, html string"))
+        every = max(1, marked.count() // most)
+        chosen = marked.where(F.pmod(place, F.lit(every)) == 0)
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,12 +185,32 @@ def decode(page: Page, chance: np.ndarray) -> np.ndarray:
     return kept
 
 
+def by_markup(page: Page) -> np.ndarray:
+    """Without a forest: what the page's marks name, or else all that they do not speak against."""
+    label = page.taught()
+    if label is not None:
+        kept = label.astype(bool)
+        # what leads to the article is not of it
+        inside = np.zeros(len(kept), bool)
+        for k in range(1, len(kept)):
+            inside[k] = kept[k] and (inside[page.parents[k]] or page.favour[k] > 0)
+        return inside
+    kept = np.ones(len(page.tags), bool)
+    for k in range(1, len(kept)):
+        kept[k] = kept[page.parents[k]] and not page.against[k] and page.tags[k] != "header"
+    kept[0] = False
+    return kept
+
+
 def main_text(html: str | None, forest: Forest | None) -> str:
     page = Page(html or "")
-    if forest is None or not page.blocks:
+    if not page.blocks:
         return ""
-    kept = decode(page, forest.chance(page.features().astype(np.float32)))
-    kept[0] = False  # text outside all elements has no node of its own
+    if forest is None:
+        kept = by_markup(page)
+    else:
+        kept = decode(page, forest.chance(page.features().astype(np.float32)))
+        kept[0] = False
     return "\n\n".join(text for node, text, _ in page.blocks if kept[node])
 
 

@@ -10,9 +10,15 @@ import numpy as np
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr img br acronym output".split()
+    "strike strong sub sup time tt u var wbr img br acronym output math semantics mrow mi mn mo ms mtext "
+    "msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mspace mfenced menclose "
+    "mphantom mtable mtr mtd".split()
 )
-SILENT = set("script style noscript template iframe object svg math canvas head title audio video".split())
+SILENT = set("script style noscript template iframe object svg canvas title audio video".split())
+#: Elements that can be in a head; any other start tag or text ends it.
+IN_HEAD = SILENT - set("iframe object svg canvas audio video".split()) | set("html head base link meta".split())
+#: What math adds besides its text.
+MATH_SILENT = {"annotation", "annotation-xml"}
 CONTROLS = set("input button select textarea option".split())
 #: An element that ends an open one of these kinds.
 ENDS = {
@@ -54,7 +60,10 @@ class Page(HTMLParser):
         self.blocks: list[tuple[int, str, int]] = []
         self.stack: list[tuple[str, int]] = [("#", 0)]
         self.controls = [0]
-        self.links = self.silent = self.link_chars = 0
+        self.links = self.link_chars = 0
+        self.head = False
+        #: Open silent elements, and elements open inside the outermost of them.
+        self.silent: list[str] = []
         self.buffer: list[str] = []
         self.feed(html)
         self.close()
@@ -77,14 +86,15 @@ class Page(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        if tag in SILENT:
-            self.silent += 1
-            self.silent_tag = tag if self.silent == 1 else self.silent_tag
+        if tag == "head" and not self.silent:
+            self.head = True
+            return
+        if self.head and tag not in IN_HEAD and not self.silent:
+            self.head = False  # a head that was not closed
+        if self.silent or tag in SILENT or tag in MATH_SILENT:
+            if tag not in VOID:
+                self.silent.append(tag)
             return
-        if self.silent:
-            if self.silent_tag != "head" or tag != "body":
-                return
-            self.silent = 0  # a head that was not closed
         if tag in CONTROLS:
             self.controls[self.stack[-1][1]] += 1
         if tag in INLINE or tag in VOID:
@@ -99,6 +109,9 @@ class Page(HTMLParser):
             self._pop_to({"p"}, SCOPES | {"td", "th", "li", "button"})
         self._flush()
         self.links = 0
+        self._open(tag, attrs)
+
+    def _open(self, tag, attrs):
         words = self._words(attrs)
         self.stack.append((tag, len(self.tags)))
         self.parents.append(self.stack[-2][1])
@@ -121,14 +134,22 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in INLINE:
+        if tag not in VOID and tag not in INLINE and tag != "head":
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
+        if tag == "head":
+            self.head = False
             return
         if self.silent:
+            if tag in self.silent:
+                del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag) :]
+                return
+            # the end of an element around an unclosed silent one ends that, too
+            if all(tag != name for name, _ in self.stack):
+                return
+            self.silent.clear()
+        if tag in SILENT or tag in MATH_SILENT:
             return
         if tag == "a":
             self.links = 0
@@ -136,7 +157,11 @@ class Page(HTMLParser):
             self._pop_to({tag}, {"table"} if tag in ENDS else set())
 
     def handle_data(self, data):
-        if not self.silent:
+        if self.head and data.strip() and not self.silent:
+            self.head = False
+        if not self.silent and not self.head:
+            if len(self.stack) == 1 and data.strip():
+                self._open("body", [])  # text outside all elements is in a body that is not named
             self.buffer.append(data)
             if self.links:
                 self.link_chars += len(data.strip())

@@ -352,3 +352,29 @@ def test_awkward_pages(spark):
     assert html_extract.extract(pages).count() == len(rows)
     assert html_extract.extract(pages.limit(0)).count() == 0
     assert [r.text for r in html_extract.extract(pages.limit(2)).collect()] == ["", ""]
+
+
+def text_of(html):
+    return [text for _, text, _ in Page(html).blocks]
+
+
+def test_unclosed_heads_and_silent_elements_end():
+    assert text_of("<head><title>T</title><article><p>x</p></article>") == ["x"]
+    assert text_of("<head><meta charset=u><style>a</style>words<p>x") == ["words", "x"]
+    for tag in ("object", "video", "audio", "svg", "canvas", "iframe"):
+        assert text_of(f"<body><div><{tag}><b>hid</b></div><p>x</p></body>") == ["x"]
+    assert text_of("<p>so <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so a=2 holds"]
+
+
+def test_pages_in_other_words_are_not_emptied(spark):
+    html = "<body><nav><a href=/>Home</a></nav><div class=inhalt><p>Ein Satz.</p></div></body>"
+    pages = spark.createDataFrame([(k, "u", html) for k in range(5)], "page_id long, url string, html string")
+    assert {r.text for r in html_extract.extract(pages).collect()} == {"Ein Satz."}
+    assert html_extract.main_text("no markup at all", None) == "no markup at all"
+
+
+def test_few_marked_pages_among_many_teach(spark):
+    rows = [(k, "u", "<body><div class=inhalt><p>Ein Satz.</p></div></body>") for k in range(60)]
+    rows.append((99, "u", "<body><nav><p>Home</p></nav><article><p>One, two.</p></article></body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r[0] for r in html_extract.lessons(pages, 4).select("label").distinct().collect()} == {0, 1}
