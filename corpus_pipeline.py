@@ -32,17 +32,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of similar ones.
+    """The row with the least id, and of equal ids the least text, of each group of similar ones.
 
-    Rows with the same id and text are one document; other rows with that id stay with it.
+    Rows with the same id and text are one document.
     """
-    linked = ngram_join.join(docs)
-    kept = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key()).distinct()
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_text")
+    kept = ngram_join.linked_rows(docs).where("first").select(key(), F.col("text_digest").alias("_text")).distinct()
     same = Window.partitionBy("_key", "_text").orderBy("lang", "source", "n_chars")
     return (
-        docs.select(*COLUMNS, key())
-        .join(kept.hint("merge"), "_key", "left_semi")  # the window needs no other partitioning
-        .withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+        docs.select(*COLUMNS, key(), digest)
+        .join(kept.hint("merge"), ["_key", "_text"], "left_semi")  # the window needs no other partitioning
         .withColumn("_nth", F.row_number().over(same))
         .where("_nth = 1")
         .select(COLUMNS)

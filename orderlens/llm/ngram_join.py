@@ -23,6 +23,8 @@ ids; a null doc_id comes after all others. Other columns are ignored. Empty in,
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,7 +50,7 @@ BITS = 1024
 LENGTH_BASE = 1.34
 PROFILE = (
     "uid long, doc_id long, n long, digest binary, unique long, cells long, "
-    "tokens array<long>, positions array<int>, grams array<long>, bits array<long>"
+    "tokens array<long>, positions array<int>, grams array<long>, bits array<long>, text_digest binary"
 )
 
 
@@ -115,6 +117,8 @@ def profiles(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFram
                  pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
         columns.insert(1, table["doc_id"].cast(pa.int64()).combine_chunks())
+        own = (hashlib.sha256((t or "").encode()).digest() for t in table["text"].to_pylist())
+        columns.append(pa.array(own, pa.binary()))
         return pa.table(columns, names=names)
 
     return blocks.exchange(blocks.packed(docs, bounds), ask, _frequency_class, finish, PROFILE)
@@ -246,8 +250,9 @@ def _untried(met: DataFrame, joined: DataFrame, bits: DataFrame) -> DataFrame:
     )
 
 
-def join(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least id reachable by links)."""
+def linked_rows(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+    """One row per document: doc_id, text_digest (SHA-256), n, component_id, and whether it is the first
+    of its component by id and then text."""
     profile = cut_lineage(profiles(docs, block_bytes))
     classes, linked = link_components(profile)
     linked = cut_lineage(linked)
@@ -256,11 +261,17 @@ def join(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
         classes.join(linked, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .join(ids, "component")
-        .select("digest", "component_id")
+        .select("digest", "component", "component_id")
     )
-    rows = profile.select("doc_id", "n", "digest")
+    rows = profile.select("uid", "doc_id", "text_digest", "n", "digest")
     found = rows.where("digest is not null").join(named.hint("merge"), "digest")
-    alone = rows.where("digest is null").withColumn("component_id", F.col("doc_id"))
-    return found.select("doc_id", "n", "component_id").union(
-        alone.select("doc_id", "n", "component_id")
-    ).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = rows.where("digest is null")
+    columns = ["doc_id", "text_digest", "n", "component_id", "first"]
+    return found.withColumn("first", F.col("uid") == F.col("component")).select(columns).union(
+        alone.withColumn("component_id", F.col("doc_id")).withColumn("first", F.lit(True)).select(columns)
+    )
+
+
+def join(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least id reachable by links)."""
+    return linked_rows(docs, block_bytes).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -171,3 +171,14 @@ def test_rows_with_one_id_and_text_become_one(spark, documents, awkward):
     out = corpus_pipeline.drop_near_copies(spark, documents(awkward), SMALL).collect()
     assert Counter(r.doc_id for r in out)[1] == 1
     assert ngram_join.join(documents(awkward)).count() == len(awkward)
+
+
+def test_near_copies_with_one_id_become_one(spark, documents):
+    one = " ".join(f"a{k}" for k in range(60))
+    other = " ".join(f"b{k}" for k in range(60))
+    rows = [(None, one + " x"), (None, one + " y"), (None, other), (3, one), (7, "p q r s t u"), (7, other + " z")]
+    out = corpus_pipeline.drop_near_copies(spark, documents(rows), SMALL).collect()
+    assert {(r.doc_id, r.text) for r in out} == {(3, one), (7, "p q r s t u"), (7, other + " z")}
+    alone = documents([(None, one + " x"), (None, one + " y"), (None, "m n o p q r"), (None, None)])
+    kept = corpus_pipeline.drop_near_copies(spark, alone, SMALL).collect()
+    assert sorted(r.text or "" for r in kept) == ["", one + " x", "m n o p q r"]
