@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     html_extract,
     mixing,
     ngram_join,
     oracle,
+    pieces,
     quality,
     substring_dedup,
     token_counts,
@@ -40,11 +42,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, table(spark, sf_dir, "documents"), index, "documents")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The public vocabulary the queries use; operators take any path."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +94,16 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, piece_level = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.links(table(spark, sf_dir, "documents"), byte_level, piece_level)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and texts decoded from them, with the library's answer beside."""
+    return pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -104,6 +116,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
         "op10_ngram_join": op10_ngram_join,
+        "op11_token_alignment": op11_token_alignment,
+        "op13_sentencepiece": op13_sentencepiece,
     }
 
 
