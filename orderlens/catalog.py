@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from orderlens.functions.casts import safe_money, safe_timestamp
 from orderlens.functions.text import clean_place
-from orderlens.operators.keyed import absent_from, up_to_cursor
+from orderlens.operators.keyed import absent_from, union_all, up_to_cursor
 from orderlens.operators.skew import SkewPolicy
 from orderlens.plans import analytics, dashboards, insights, quality, security, staging
 from orderlens.plans import time_intelligence as over_time
@@ -27,14 +27,17 @@ from orderlens.plans.metrics import (
 )
 from orderlens.session import at_once, shared_dir
 from orderlens.sources import adapters
+from orderlens.sources.file_index import LandedFiles
 from orderlens.sources.landing import aggregate_geolocation, load_landing, row_counts
 from orderlens.sources.schemas import LANDING
-from orderlens.streaming import health, rules
+from orderlens.streaming import health, late, rules
 from orderlens.streaming.ingest import Cursor, Ingest, next_window
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYSET_START = datetime.datetime(2024, 1, 10)
+STREAM_SPLIT = datetime.datetime(2024, 1, 20)
+STREAM_DELAY = "36 hours"
 LATE_CURSOR = datetime.datetime(1998, 1, 1)
 
 
@@ -159,9 +162,13 @@ def reject_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(out)
 
 
-def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, Callable[[], DataFrame]]:
-    """Bulk load: the dirty feed written once as landing tables, as functions that open them."""
+def land(spark: SparkSession, sf_dir: str, folder: str, **only: str) -> dict[str, LandedFiles]:
+    """Bulk load: the dirty feed written once as landing tables, which may grow.
+
+    `only` keeps the rows of a table that meet a condition, for feeds that land in parts.
+    """
     tables = adapters.landing_tables(spark, sf_dir)
+    tables |= {name: tables[name].filter(condition) for name, condition in only.items()}
 
     def write(name: str) -> None:
         df, path = tables[name], f"{folder}/landing/{name}"
@@ -173,7 +180,7 @@ def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, Callable[[]
             df.write.mode("overwrite").parquet(path)
 
     at_once({name: partial(write, name) for name in tables})
-    return {name: partial(spark.read.parquet, f"{folder}/landing/{name}") for name in tables}
+    return {name: LandedFiles(spark, f"{folder}/landing/{name}") for name in tables}
 
 
 def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,9 +200,14 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def new_ingest(spark: SparkSession, sf_dir: str) -> Ingest:
+def new_ingest(spark: SparkSession, sf_dir: str, **only: str) -> Ingest:
     folder = f"{shared_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    return Ingest(spark, folder, land(spark, sf_dir, folder))
+    return Ingest(spark, folder, land(spark, sf_dir, folder, **only))
+
+
+def _drip_in(ingest: Ingest, batches: int) -> None:
+    """Drain the feed in about so many batches."""
+    ingest.drip(size=max(1, -(-ingest.feed.count() // batches)))
 
 
 def _loaded_counts(ingest: Ingest) -> DataFrame:
@@ -226,6 +238,83 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(_loaded_counts(ingest))
 
 
+def _loaded_rows(ingest: Ingest) -> DataFrame:
+    """All loaded rows in one shape."""
+
+    def rows(table: str, order_id="order_id", number=None, other=None, amount=None, text=None) -> DataFrame:
+        def value(name: str | None, kind: str):
+            return (F.lit(None) if name is None else F.col(name)).cast(kind)
+
+        return ingest.raw(table).select(
+            F.lit(f"raw.{table}").alias("table_name"),
+            value(order_id, "string").alias("order_id"),
+            value(number, "bigint").alias("number"),
+            value(other, "string").alias("other"),
+            value(amount, "double").alias("amount"),
+            value(text, "string").alias("text"),
+        )
+
+    return union_all(
+        [
+            rows("orders", other="customer_id", text="order_status"),
+            rows("customers", None, other="customer_id", text="customer_unique_id"),
+            rows("order_items", number="order_item_id", other="product_id", amount="price", text="seller_id"),
+            rows("order_payments", number="payment_sequential", amount="payment_value", text="payment_type"),
+            rows("order_reviews", number="review_score", other="review_id"),
+        ]
+    )
+
+
+def drip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that six batches through the cursor and the file indexes leave in the raw tables."""
+    ingest = new_ingest(spark, sf_dir)
+    _drip_in(ingest, 6)
+    return portable(_loaded_rows(ingest))
+
+
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed orders as a stream of files."""
+    return spark.readStream.schema(LANDING["orders"]).parquet(f"{folder}/arrivals")
+
+
+def _arrive(spark: SparkSession, sf_dir: str, folder: str, condition: str) -> None:
+    orders = adapters.landing_tables(spark, sf_dir)["orders"].select(*LANDING["orders"].names)
+    orders.filter(condition).write.mode("append").parquet(f"{folder}/arrivals")
+
+
+def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that a stream of two deliveries leaves in the raw tables."""
+    ingest = new_ingest(spark, sf_dir)
+    root = ingest.store.root
+    for condition in ("order_id % 2 = 0", "order_id % 2 = 1"):
+        _arrive(spark, sf_dir, root, condition)
+        ingest.stream(_arrivals(spark, root), f"{root}/stream-state").awaitTermination()
+    return portable(_loaded_rows(ingest))
+
+
+def stream_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose checkpoint is lost starts anew at the same path: nothing is lost or doubled."""
+    ingest = new_ingest(spark, sf_dir)
+    root = ingest.store.root
+    for condition in ("order_id % 3 = 0", "order_id % 3 <> 0"):
+        _arrive(spark, sf_dir, root, condition)
+        ingest.stream(_arrivals(spark, root), f"{root}/stream-state").awaitTermination()
+        ingest.store.clear("stream-state")
+    return portable(_loaded_counts(ingest))
+
+
+def late_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that land after their orders were loaded: the rows that a backfill adds."""
+    ingest = new_ingest(spark, sf_dir, order_items="order_id % 5 <> 0")
+    _drip_in(ingest, 2)
+    items = adapters.landing_tables(spark, sf_dir)["order_items"].filter("order_id % 5 = 0")
+    items.write.mode("append").parquet(f"{ingest.store.root}/landing/order_items")
+    done = ingest.backfill_children()
+    added = ingest.raw("order_items").filter(F.col("batch_id") == done.batch_id)
+    names = ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+    return portable(added.select(*names))
+
+
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders behind a cursor that were not loaded: every seventh one is held back."""
     feed = adapters.landing_orders(_read(spark, sf_dir, "orders"))
@@ -235,6 +324,21 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(late.select("order_id", "customer_id", "purchase_ts"))
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two deliveries, the second with late and repeated ones: which were accepted."""
+    root = f"{shared_dir(spark).rstrip('/')}/late-{uuid.uuid4().hex}"
+    events = _read(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    early = (F.col("ts") < F.lit(str(STREAM_SPLIT)).cast("timestamp")) & (F.col("event_id") % 7 != 0)
+    gate = late.LateGate(spark, root, events.schema, ["event_id"], "ts", STREAM_DELAY)
+    repeated = events.filter(early & (F.col("event_id") % 5 == 0))
+    for rows in (events.filter(early), events.filter(~early).unionByName(repeated)):
+        rows.write.mode("append").parquet(f"{root}/landing")
+        gate.run(spark.readStream.schema(events.schema).parquet(f"{root}/landing"))
+    named = {"accepted": gate.accepted(), "late": gate.late()}
+    said = [rows.withColumn("verdict", F.lit(name)) for name, rows in named.items()]
+    return portable(union_all(said).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
 def _after_drip(report: Callable[[Ingest, Mart], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest = new_ingest(spark, sf_dir)
@@ -428,6 +532,11 @@ def queries() -> dict[str, Query]:
         "late_rows": late_rows,
         "drip_equals_bulk": drip_equals_bulk,
         "stream_ingest": stream_ingest,
+        "drip_rows": drip_rows,
+        "stream_rows": stream_rows,
+        "stream_again": stream_again,
+        "late_children": late_children,
+        "stream_late": stream_late,
         # quality and security
         "dq_checks": _of(quality.dq_checks),
         "dq_checks_after_ingest": _after_drip(lambda i, m: quality.dq_checks(m, i.ingest_state())),

@@ -9,8 +9,10 @@ from pyspark.sql.window import Window
 from orderlens.functions import bands
 from orderlens.functions.dates import month_key, month_label, month_number, month_start
 from orderlens.functions.exact import exact_ratio, pct, rounded_mean
-from orderlens.operators.ordering import global_order, ntile_all, ntile_of
+from orderlens.operators.cuts import ntiles
+from orderlens.operators.ordering import global_order, ntile_of
 from orderlens.operators.series import densify, one_value
+from orderlens.session import cut_lineage
 
 
 def person_totals(fact_orders: DataFrame) -> DataFrame:
@@ -36,11 +38,11 @@ def person_totals(fact_orders: DataFrame) -> DataFrame:
 def rfm(totals: DataFrame) -> DataFrame:
     """Recency and money are quintiles; frequency is banded, as most people order once.
 
-    Ties are broken by person, so the quintiles are the same on every run. "Today"
-    is the last valid purchase, which is the latest of the people's last ones.
+    Ties are broken by person, so the quintiles are the same on every run. They are told by
+    their cut points, so people are neither ordered nor moved. "Today" is the last valid
+    purchase, which is the latest of the people's last ones.
     """
     today = one_value(totals.agg(F.max("last_order_date").alias("d")), F.col("d"))
-    person = F.col("customer_unique_id").asc()
     base = totals.select(
         "customer_unique_id",
         "first_order_date",
@@ -52,8 +54,8 @@ def rfm(totals: DataFrame) -> DataFrame:
         "avg_review_score",
         bands.frequency_score(F.col("total_orders")).alias("f_score"),
     )
-    scored = ntile_all(base, [F.col("last_order_date").asc(), person], 5, "r_score")
-    scored = ntile_all(scored, [F.col("monetary").asc_nulls_last(), person], 5, "m_score")
+    orders = {"r_score": F.unix_date("last_order_date"), "m_score": F.col("monetary") * 100}
+    scored = ntiles(cut_lineage(base), orders, "customer_unique_id", 5)
     # Half up: 2.5 becomes 3.
     value = F.call_function("div", F.col("f_score") + F.col("m_score") + F.lit(1), F.lit(2)).cast("int")
     ranked = scored.withColumn("fm_score", value).withColumn(

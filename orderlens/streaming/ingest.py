@@ -22,12 +22,14 @@ from orderlens.operators.ordering import global_order
 from orderlens.plans.mart import PERSON_TABLES, Mart, RawTables
 from orderlens.plans.quality import DataQualityError, IngestState, dq_checks, failed_errors
 from orderlens.session import at_once, cut_lineage
+from orderlens.sources.file_index import FileIndex, LandedFiles, read_files
 from orderlens.sources.landing import typed_feed
 from orderlens.sources.schemas import BATCH_STATUSES, LANDING, OPS, RAW, RAW_KEYS
 from orderlens.sources.tables import TableStore
 from orderlens.streaming import rules
 
 SOURCE = "orders_feed"
+_BACKFILL = "children backfill"
 
 
 @dataclass(frozen=True)
@@ -49,22 +51,26 @@ class BatchResult:
     status: str
 
 
-def next_window(feed: DataFrame, cursor: Cursor, size: int) -> DataFrame:
+def next_window(feed: DataFrame, cursor: Cursor, size: int, end: tuple | None = None) -> DataFrame:
     """The `size` rows that follow the cursor in (purchase time, order id).
 
-    Rows per month, of which there are as many as the calendar has, tell how far the
-    window can reach; only those months are ordered, by many tasks whatever the size. All
-    columns break ties, so copies of one order are taken in the same order always.
+    `end` is a place that the window cannot pass, as a file index knows it. Without one, rows
+    per month, of which there are as many as the calendar has, tell how far the window can
+    reach. Only rows up to there are ordered, by many tasks whatever the size. All columns
+    break ties, so copies of one order are taken in the same order always.
     """
     ts, key = F.col("purchase_ts"), F.col("order_id")
     ahead = feed.filter(after_cursor(ts, key, cursor.last_ts, cursor.last_id))
-    month = F.add_months(F.trunc(ts, "month"), 1).alias("end")
-    seen = 0
-    for row in ahead.groupBy(month).count().orderBy("end").collect():
-        seen += row["count"]
-        if seen >= size:
-            ahead = ahead.filter(ts < F.lit(str(row["end"])).cast("timestamp_ntz"))
-            break
+    if end is not None:
+        ahead = ahead.filter(up_to_cursor(ts, key, *end))
+    else:
+        month = F.add_months(F.trunc(ts, "month"), 1).alias("end")
+        seen = 0
+        for row in ahead.groupBy(month).count().orderBy("end").collect():
+            seen += row["count"]
+            if seen >= size:
+                ahead = ahead.filter(ts < F.lit(str(row["end"])).cast("timestamp_ntz"))
+                break
     ties = [F.col(c).asc_nulls_last() for c in feed.columns if c not in ("purchase_ts", "order_id")]
     placed = global_order(ahead, [ts.asc(), key.asc(), *ties], "_at")
     return placed.filter(F.col("_at") <= size).drop("_at")
@@ -76,6 +82,18 @@ def _one_row_per_person(table: DataFrame) -> None:
         raise DataQualityError("a person table repeats customers")
 
 
+def _digest(rows: DataFrame) -> str:
+    """What tells one set of rows from another, whatever their order and number of files."""
+    columns = sorted(rows.columns)
+    each = F.xxhash64(*columns)
+    found = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(each.cast("decimal(20,0)")).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit("rows"), *columns)).alias("xor"),
+    ).first()
+    return hashlib.sha256(f"{found.n} {found.sum} {found.xor}".encode()).hexdigest()[:24]
+
+
 def _now() -> datetime.datetime:
     return datetime.datetime.now()
 
@@ -91,8 +109,20 @@ class Ingest:
 
     A table may be given as a function that opens it. It is then opened anew by every
     batch, so files that land later are seen; a frame keeps the files it was made with.
+    For `LandedFiles` an index of the files is kept: a batch opens only files that may hold
+    its window or its keys, and a backfill only those that landed since the last one.
     """
 
+    #: What rows of a landed table are looked up by, and the time that orders the feed.
+    _KEYS = {
+        "orders": ("order_id", "purchase_ts"),
+        "customers": ("customer_id", None),
+        "products": ("product_id", None),
+        "order_items": ("order_id", None),
+        "order_payments": ("order_id", None),
+        "order_reviews": ("order_id", None),
+    }
+
     def __init__(
         self,
         spark: SparkSession,
@@ -107,6 +137,44 @@ class Ingest:
         opened = self._landing[table]
         return opened() if callable(opened) else opened
 
+    def _index(self, table: str) -> FileIndex:
+        return FileIndex(self.store, f"landed/{table}", *self._KEYS[table])
+
+    def _raw_index(self, table: str) -> FileIndex:
+        return FileIndex(self.store, f"raw/{table}", RAW_KEYS[table][0])
+
+    def _indexed(self, table: str) -> bool:
+        source = self._landing.get(table)
+        return isinstance(source, LandedFiles) and (table != "orders" or "purchase_ts" in source().columns)
+
+    def _refresh_indexes(self, generation: int) -> dict[str, list[str]]:
+        """Index files that are new; gives the files that are there, by table."""
+        files = {t: source().inputFiles() for t, source in self._landing.items() if t in self._KEYS and self._indexed(t)}
+        raw = self._raw_files() if files else {}
+        work = {("landed", t): partial(self._index(t).refresh, f, generation) for t, f in files.items()}
+        work |= {("raw", t): partial(self._raw_index(t).refresh, f, generation) for t, f in raw.items()}
+        if work:
+            at_once(work)
+        return files | {f"raw/{t}": f for t, f in raw.items()}
+
+    def _raw_files(self) -> dict[str, list[str]]:
+        done = self.committed()
+        return {t: self.raw(t, done).inputFiles() if done else [] for t in RAW}
+
+    def _landed_with(self, table: str, keys: DataFrame, files: Mapping[str, list[str]]) -> DataFrame:
+        """A landed table without the files that cannot hold any of the keys."""
+        if table not in files:
+            return self.landed(table)
+        return self._landing[table].only(self._index(table).files_with(keys, files[table]))
+
+    def _raw_with(self, table: str, keys: DataFrame, files: Mapping[str, list[str]], done: list[int]) -> DataFrame:
+        """What finished batches loaded, without the files that cannot hold any of the keys."""
+        if f"raw/{table}" not in files:
+            return self.raw(table, done)
+        there = files[f"raw/{table}"]
+        found = self._raw_index(table).files_with(keys, there) if there else []
+        return read_files(self.spark, RAW[table], f"{self.store.root}/raw/{table}", found)
+
     @property
     def feed(self) -> DataFrame:
         orders = self.landed("orders")
@@ -157,31 +225,52 @@ class Ingest:
     # -- one batch -----------------------------------------------------------------
     def next_batch(self, size: int = 500) -> BatchResult:
         """Load the next `size` orders with everything that belongs to them."""
-        cursor = self.read_cursor()
-        window = next_window(self.feed, cursor, size)
-        return self._guarded(window, cursor, f"drip batch, size={size}")
+        cursor, batch_id = self.read_cursor(), self._next_id()
+        files = self._refresh_indexes(batch_id)
+        feed, end = self.feed, None
+        if "orders" in files:
+            found, end = self._index("orders").window(cursor.last_ts, cursor.last_id, size, files["orders"])
+            feed = self._landing["orders"].only(found)
+        window = next_window(feed, cursor, size, end)
+        return self._guarded(window, cursor, f"drip batch, size={size}", files)
 
     def arrivals(self, rows: DataFrame, epoch: int, query: str = "stream") -> BatchResult | None:
-        """Load one micro-batch of a stream; an epoch that finished is not loaded again."""
-        note = f"{query} epoch {epoch}"
+        """Load one micro-batch of a stream; rows that a finished one has brought are not loaded again.
+
+        What marks a micro-batch is its rows, not its number: a checkpoint that was lost starts
+        to count anew, and may cut the same files otherwise.
+        """
+        arrived = cut_lineage(rows if "purchase_ts" in rows.columns else typed_feed(rows))
+        note = f"{query} {_digest(arrived)}"
         finished = self.load_batch().filter(F.col("status").isin("succeeded", "partial"))
         if not finished.filter(F.col("notes") == note).isEmpty():
             return None
-        arrived = cut_lineage(rows if "purchase_ts" in rows.columns else typed_feed(rows))
         window = arrived.filter("purchase_ts is not null")
-        return self._guarded(window, self.read_cursor(), note, unparsed_in=arrived)
+        files = self._refresh_indexes(self._next_id())
+        return self._guarded(window, self.read_cursor(), note, files, unparsed_in=arrived)
 
     def _guarded(
-        self, window: DataFrame, cursor: Cursor, note: str, unparsed_in: DataFrame | None = None
+        self,
+        window: DataFrame,
+        cursor: Cursor,
+        note: str,
+        files: Mapping[str, list[str]],
+        unparsed_in: DataFrame | None = None,
     ) -> BatchResult:
         batch_id, started = self._next_id(), _now()
         try:
-            source = self.feed if unparsed_in is None else unparsed_in
-            return self._load(cut_lineage(window), cursor, batch_id, started, note, source)
+            source = self._unparsed_feed(files) if unparsed_in is None else unparsed_in
+            return self._load(cut_lineage(window), cursor, batch_id, started, note, source, files)
         except Exception as error:
             self.record_failure(batch_id, started, "ingest", error)
             raise
 
+    def _unparsed_feed(self, files: Mapping[str, list[str]]) -> DataFrame:
+        """The feed, or only its files that hold rows without a time."""
+        if "orders" not in files:
+            return self.feed
+        return self._landing["orders"].only(self._index("orders").files_without_time(files["orders"]))
+
     def record_failure(self, batch_id: int, started: datetime.datetime, step: str, error: Exception) -> None:
         """Log a failed batch and what stopped it; its rows stay invisible."""
         entry = {
@@ -195,20 +284,23 @@ class Ingest:
         self._put_row("load_errors", entry, batch_id)
         self._log_batch(batch_id, "failed", started_at=started, notes=step)
 
-    def _children(self, orders: DataFrame) -> dict[str, DataFrame]:
+    def _children(self, orders: DataFrame, files: Mapping[str, list[str]]) -> dict[str, DataFrame]:
         """Landed rows of the given orders, each with the reason it is refused, if any."""
+        keys = orders.select("order_id").distinct()
 
         def of(table: str) -> DataFrame:
-            landed = self.landed(table).select(*LANDING[table].names)
-            return landed.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+            landed = self._landed_with(table, keys, files).select(*LANDING[table].names)
+            return cut_lineage(landed.join(keys, "order_id", "left_semi"))
+
+        return self._checked(at_once({t: partial(of, t) for t in self._TYPED}), files)
 
-        checked = {
-            "order_items": rules.check_items(of("order_items"), self.landed("products")),
-            "order_payments": rules.check_payments(of("order_payments")),
-            "order_reviews": rules.check_reviews(of("order_reviews")),
+    def _checked(self, rows: dict[str, DataFrame], files: Mapping[str, list[str]]) -> dict[str, DataFrame]:
+        products = self._landed_with("products", rows["order_items"].select("product_id"), files)
+        return {
+            "order_items": cut_lineage(rules.check_items(rows["order_items"], products)),
+            "order_payments": rules.check_payments(rows["order_payments"]),
+            "order_reviews": rules.check_reviews(rows["order_reviews"]),
         }
-        # Read twice below, and far smaller than the landed tables.
-        return at_once({name: partial(cut_lineage, df) for name, df in checked.items()})
 
     _TYPED = {
         "order_items": rules.typed_items,
@@ -220,12 +312,12 @@ class Ingest:
         return {n: self._TYPED[n](rows.filter("reason is null")) for n, rows in children.items()}
 
     def _write_all(
-        self, typed: dict[str, DataFrame], refused: list[DataFrame], batch_id: int
+        self, typed: dict[str, DataFrame], refused: list[DataFrame], batch_id: int, files: Mapping[str, list[str]]
     ) -> tuple[int, int]:
         """Write the raw tables and the rejects of a batch; no write needs another."""
         done = self.committed()
         writes = {
-            table: partial(self._write_raw, table, rows, batch_id, done) for table, rows in typed.items()
+            table: partial(self._write_raw, table, rows, batch_id, done, files) for table, rows in typed.items()
         }
         writes["rejects"] = partial(self._write_errors, union_all(refused), batch_id)
         counts = at_once(writes)
@@ -238,8 +330,11 @@ class Ingest:
         self.store.put_batch(name, rows.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
         return seen.get["n"]
 
-    def _write_raw(self, table: str, typed: DataFrame, batch_id: int, committed: list[int]) -> int:
-        fresh = absent_from(typed, self.raw(table, committed), RAW_KEYS[table])
+    def _write_raw(
+        self, table: str, typed: DataFrame, batch_id: int, committed: list[int], files: Mapping[str, list[str]]
+    ) -> int:
+        held = self._raw_with(table, typed.select(RAW_KEYS[table][0]), files, committed)
+        fresh = absent_from(typed, held, RAW_KEYS[table])
         names = [n for n in RAW[table].names if n not in ("batch_id", "ingested_at")]
         return self._write(f"raw/{table}", fresh.select(*names, F.now().alias("ingested_at")), batch_id)
 
@@ -262,6 +357,7 @@ class Ingest:
         started: datetime.datetime,
         note: str,
         unparsed_in: DataFrame,
+        files: Mapping[str, list[str]],
     ) -> BatchResult:
         last = window.agg(
             F.count(F.lit(1)).alias("n"), F.max(F.struct("purchase_ts", "order_id")).alias("at")
@@ -271,18 +367,19 @@ class Ingest:
         refused = [rules.rejects(unparsed, "orders", columns)]
         loaded = 0
         if last.n:
-            checked = cut_lineage(rules.check_orders(window, self.landed("customers")))
+            customers = self._landed_with("customers", window.select("customer_id"), files)
+            checked = cut_lineage(rules.check_orders(window, customers))
             good = checked.filter("reason is null")
-            children = self._children(good)
+            children = self._children(good, files)
             refused.append(rules.rejects(checked, "orders", columns))
             refused += [
                 rules.rejects(rows, name, LANDING[name].names) for name, rows in children.items()
             ]
-            buyers = self.landed("customers").join(
+            buyers = customers.join(
                 good.select("customer_id").distinct(), "customer_id", "left_semi"
             )
             typed = {"customers": rules.typed_customers(buyers), "orders": rules.typed_orders(good)}
-            loaded, rejected = self._write_all({**typed, **self._typed(children)}, refused, batch_id)
+            loaded, rejected = self._write_all({**typed, **self._typed(children)}, refused, batch_id, files)
         else:
             rejected = self._write_errors(union_all(refused), batch_id)
 
@@ -332,11 +429,11 @@ class Ingest:
     def stream(self, source: DataFrame, checkpoint: str, query: str = "stream"):
         """Load whatever a stream of landed orders holds now, then stop.
 
-        Epochs are counted per checkpoint, so its name is part of what marks one as done.
+        With its checkpoint lost, a stream brings all files again; rows that are loaded or
+        logged stay as they are, and only the others are added.
         """
-        label = f"{query} {hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"
         return (
-            source.writeStream.foreachBatch(lambda rows, epoch: self.arrivals(rows, epoch, label) and None)
+            source.writeStream.foreachBatch(lambda rows, epoch: self.arrivals(rows, epoch, query) and None)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -351,13 +448,33 @@ class Ingest:
         logged = logged.select(F.col("record_key").alias("order_id"))
         return absent_from(absent_from(passed, self.raw("orders"), ["order_id"]), logged, ["order_id"])
 
+    def _late_children(self, files: Mapping[str, list[str]]) -> dict[str, DataFrame]:
+        """Landed rows of loaded orders; of indexed tables only those in files that no batch of
+        their order can have seen: the first batch and every backfill saw all files there were."""
+        log = self.load_batch().filter(F.col("status").isin("succeeded", "partial"))
+        backfill = F.col("notes") == _BACKFILL
+        seen = log.agg(F.coalesce(F.max(F.when(backfill, F.col("batch_id"))), F.min("batch_id"), F.lit(0)).alias("n"))
+        seen, done = seen.first().n, self.committed()
+
+        def of(table: str) -> DataFrame:
+            if table in files:
+                landed = self._landing[table].only(self._index(table).files_since(seen, files[table]))
+            else:
+                landed = self.landed(table)
+            landed = landed.select(*LANDING[table].names)
+            orders = self._raw_with("orders", landed.select("order_id"), files if table in files else {}, done)
+            return cut_lineage(landed.join(orders.select("order_id").distinct(), "order_id", "left_semi"))
+
+        return self._checked(at_once({t: partial(of, t) for t in self._TYPED}), files)
+
     def backfill_children(self) -> BatchResult:
         """Load items, payments and reviews that landed after their order's batch."""
         batch_id, started = self._next_id(), _now()
         try:
-            children = self._children(self.raw("orders"))
+            files = self._refresh_indexes(batch_id)
+            children = self._late_children(files)
             refused = [rules.rejects(rows, name, LANDING[name].names) for name, rows in children.items()]
-            loaded, rejected = self._write_all(self._typed(children), refused, batch_id)
+            loaded, rejected = self._write_all(self._typed(children), refused, batch_id, files)
         except Exception as error:
             self.record_failure(batch_id, started, "backfill", error)
             raise
@@ -368,7 +485,7 @@ class Ingest:
             started_at=started,
             rows_loaded=loaded,
             rows_rejected=rejected,
-            notes="children backfill",
+            notes=_BACKFILL,
         )
         return BatchResult(batch_id, 0, loaded, rejected, self.read_cursor().last_ts, status)
 
@@ -378,6 +495,7 @@ class Ingest:
             self.store.clear(f"raw/{table}")
         for table in OPS:
             self.store.clear(f"ops/{table}")
+        self.store.clear("index")
 
     # -- after the batches -----------------------------------------------------------
     def mart(self, reference: Mapping, **options) -> Mart:

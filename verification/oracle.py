@@ -56,6 +56,17 @@ COUNTS = query(f"""
   select subject, row_count from ({LOADED})
   union all select source_table || ' ' || error_type, rows from ({REFUSED})""")
 
+ROWS = query(f"""
+  select 'raw.orders' as table_name, order_id, null::bigint as number, customer_id as other,
+         null::double as amount, order_status as text from src_orders where {GOOD}
+  union all select 'raw.customers', null, null, customer_id, null, customer_unique_id from src_people where {GOOD}
+  union all select 'raw.order_items', order_id, order_item_id, product_id, cast(price as double), seller_id
+            from src_items where {GOOD} and {ITEM_VERDICT} = 'ok'
+  union all select 'raw.order_payments', order_id, payment_sequential, null, cast(payment_value as double), payment_type
+            from src_payments where order_id in (select order_id from src_orders where {GOOD})
+  union all select 'raw.order_reviews', order_id, review_score, review_id, null, null
+            from src_reviews where {GOOD} and {REVIEW_VERDICT} = 'ok'""")
+
 # Measures over the flat relations s (items) and o (orders).
 SALES_CORE = """sum(item_total) filter (where is_valid_sale) as total_revenue,
   sum(price) filter (where is_valid_sale) as product_revenue,
@@ -745,6 +756,21 @@ def oracle_sql() -> dict[str, str]:
                where k % 7 = 0 and k % 109 <> 0
                  and (purchase_ts, order_id) <= (timestamp '1998-01-01 00:00:00', '5')"""
         ),
+        "drip_rows": ROWS,
+        "stream_rows": ROWS,
+        "stream_again": COUNTS,
+        "stream_late": query(
+            """with placed as (
+                 select event_id, event_type, ts, ts < timestamp '2024-01-20 00:00:00' and event_id % 7 <> 0 as early from events),
+               mark as (select date_trunc('millisecond', max(ts)) - interval 36 hour as w from placed where early)
+               select event_id, event_type, cast(ts as varchar) as ts,
+                 case when early or ts > w then 'accepted' else 'late' end as verdict from placed, mark"""
+        ).replace("\nwith placed as", ",\nplaced as"),
+        "late_children": query(
+            f"""select order_id, cast(order_item_id as bigint) as order_item_id, product_id, seller_id,
+                  cast(price as double) as price, cast(freight_value as double) as freight_value
+                from src_items where {GOOD} and {ITEM_VERDICT} = 'ok' and k % 5 = 0"""
+        ),
         "drip_equals_bulk": COUNTS,
         "stream_ingest": COUNTS,
         "dq_checks": query(
