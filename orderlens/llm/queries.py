@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import (
     alignment,
+    conversations,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -99,6 +100,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.links(table(spark, sf_dir, "documents"), byte_level, piece_level)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the CRC of their keys, and repaired."""
+    given = table(spark, sf_dir, "conversations")
+    return conversations.with_empty(given, conversations.repair(conversations.damage(given)))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and texts decoded from them, with the library's answer beside."""
     return pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -117,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_source_mix": op9_source_mix,
         "op10_ngram_join": op10_ngram_join,
         "op11_token_alignment": op11_token_alignment,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_sentencepiece": op13_sentencepiece,
     }
 
@@ -125,4 +133,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": oracle.EXACT_DEDUP,
         "op9_source_mix": oracle.MIXING,
+        "op12_conversation_repair": oracle.conversation_repair(),
     }
