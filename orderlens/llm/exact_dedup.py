@@ -7,7 +7,8 @@ more set of files. Nothing here leaves the JVM.
 
 Defined results: a null text counts as empty, and all empty texts are equal. A null
 doc_id sorts after every other id and is kept only if all copies have none. Equal rows
-are copies of each other. An empty batch appends nothing. Other columns are ignored.
+are copies of each other, and one of them stays. A group's size is what its first batch held.
+An empty batch appends nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ INDEX = T.StructType(
     [
         T.StructField("digest", T.BinaryType()),
         T.StructField("keep_id", T.LongType()),
+        T.StructField("keep_length", T.IntegerType()),
         T.StructField("group_size", T.LongType()),
         T.StructField("batch", T.StringType()),
     ]
@@ -49,7 +51,7 @@ def groups(digested: DataFrame) -> DataFrame:
         "doc_id", F.struct(-F.col("length"), F.coalesce("doc_id", F.lit(LAST_ID)))
     )
     return digested.groupBy("digest").agg(
-        best.alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+        best.alias("keep_id"), F.max("length").alias("keep_length"), F.count(F.lit(1)).alias("group_size")
     )
 
 
@@ -94,15 +96,19 @@ class DigestIndex:
         )
         self.spark.catalog.refreshTable(self.name)
 
-    def settle(self, digested: DataFrame) -> DataFrame:
+    def settle(self, digested: DataFrame, batch: str) -> DataFrame:
         """Every row with its group; copies of earlier batches' texts follow the earlier row."""
-        known = self.rows().select("digest", "keep_id", "group_size")
+        known = self.rows().withColumnRenamed("batch", "of")
+        alike = digested.groupBy("digest", "doc_id", "length").agg(F.count(F.lit(1)).alias("rows"))
+        stays = (
+            F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("length") == F.col("keep_length")) & (F.col("of") == batch)
+        )
         # both sides are shuffled, so a digest with very many copies is split at run time
-        return digested.join(known.hint("merge"), "digest").select(
+        return alike.join(known.hint("merge"), "digest").select(
             "doc_id",
             "keep_id",
             "group_size",
-            F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            F.explode(F.transform(F.sequence(F.lit(1), F.col("rows")), lambda k: stays & (k == 1))).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
 
@@ -111,4 +117,4 @@ def dedup(spark: SparkSession, docs: DataFrame, index: DigestIndex, batch: str)
     """Add `docs` to the index and return one row per document with its decision."""
     digested = digests(docs)
     index.add(groups(digested), batch)
-    return index.settle(digested)
+    return index.settle(digested, batch)

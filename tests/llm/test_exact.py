@@ -35,11 +35,17 @@ def test_exact_dedup_of_awkward_rows(spark, documents, awkward):
     for key, members in groups.items():
         keep = min(members)[3]
         sha = hashlib.sha256(key.encode()).hexdigest()
-        want += [(m[3], keep, len(members), m[3] == keep, sha) for m in members]
+        want += [(m[3], keep, len(members), k == 0, sha) for k, m in enumerate(sorted(members))]
     order = lambda r: tuple(map(str, r))
     assert sorted(map(tuple, rows), key=order) == sorted(want, key=order)
 
 
+def test_one_row_of_a_group_stays(spark, documents):
+    rows = [(1, "a b"), (1, "a b"), (1, "ab"), (2, "ab"), (None, "z"), (None, "z")]
+    kept = exact_dedup.dedup(spark, documents(rows), index(spark), "a").where("kept").collect()
+    assert sorted((str(r.doc_id), r.group_size) for r in kept) == [("1", 4), ("None", 2)]
+
+
 def test_exact_dedup_of_batches(spark, documents):
     first = index(spark)
     exact_dedup.dedup(spark, documents([(1, "a b"), (2, "c")]), first, "one").collect()
