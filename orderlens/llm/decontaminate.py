@@ -73,6 +73,13 @@ class Items:
         self.item = np.searchsorted(bounds, starts, side="right") - 1
         self.at = starts - bounds[self.item]
 
+    @staticmethod
+    def of(plain: dict) -> Items:
+        """From what `vars` gives: broadcasts hold plain values, as workers need not know this class."""
+        items = Items.__new__(Items)
+        vars(items).update(plain)
+        return items
+
     def distinct(self) -> np.ndarray:
         return self.grams[np.diff(self.grams, prepend=self.grams[:1] + np.uint64(1)) != 0]
 
@@ -171,10 +178,10 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, items: Items) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(items))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
+        items = Items.of(shared.value)
         for piece in (x for batch in batches for x in W.pieces(batch)):
             begins, hashes, starts, place = _hits(W.whole(piece.column("text")), items.grams)
             doc, item, low, high = _passages(begins, starts, place, items)
@@ -187,10 +194,10 @@ def _without(docs: DataFrame, items: Items) -> DataFrame:
 
 
 def _search(docs: DataFrame, items: Items) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(items))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
+        items = Items.of(shared.value)
         for batch in batches:
             for piece in W.pieces(batch):
                 begins, hashes, starts, place = _hits(W.whole(piece.column("text")), items.grams)

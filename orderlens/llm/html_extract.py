@@ -216,11 +216,14 @@ def main_text(html: str | None, forest: Forest | None) -> str:
 
 def extract(pages: DataFrame, most: int = TRAINING_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    shared = pages.sparkSession.sparkContext.broadcast(train(pages, most))
+    trained = train(pages, most)
+    # plain values, as workers need not know the class
+    shared = pages.sparkSession.sparkContext.broadcast(trained and vars(trained))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared.value and Forest(**shared.value)
         for batch in batches:
-            texts = [main_text(html, shared.value) for html in batch.column("html").to_pylist()]
+            texts = [main_text(html, forest) for html in batch.column("html").to_pylist()]
             yield pa.record_batch(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
