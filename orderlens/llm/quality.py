@@ -176,7 +176,7 @@ class Text:
         for end, context in zip(ends, contexts):
             a = _CHANCE[said["a"][np.searchsorted(asked, end)]]
             chance = a + _CHANCE[said["g"][np.searchsorted(asked, context)]] * chance
-        per_gram = np.log(np.maximum(chance, 1e-12))[self.gram]
+        per_gram = np.log(np.maximum(chance, np.finfo(float).tiny))[self.gram]
         stops = np.cumsum(self.size)
         total = np.concatenate([[0.0], np.cumsum(per_gram)])
         per_word = total[stops] - total[stops - self.size]
