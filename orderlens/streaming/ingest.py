@@ -132,16 +132,19 @@ class Ingest:
         self.spark = spark
         self.store = TableStore(spark, root)
         self._landing = dict(landing)
+        self._indexes: dict[str, FileIndex] = {}
 
     def landed(self, table: str) -> DataFrame:
         opened = self._landing[table]
         return opened() if callable(opened) else opened
 
     def _index(self, table: str) -> FileIndex:
-        return FileIndex(self.store, f"landed/{table}", *self._KEYS[table])
+        name = f"landed/{table}"
+        return self._indexes.setdefault(name, FileIndex(self.store, name, *self._KEYS[table]))
 
     def _raw_index(self, table: str) -> FileIndex:
-        return FileIndex(self.store, f"raw/{table}", RAW_KEYS[table][0])
+        name = f"raw/{table}"
+        return self._indexes.setdefault(name, FileIndex(self.store, name, RAW_KEYS[table][0]))
 
     def _indexed(self, table: str) -> bool:
         source = self._landing.get(table)
@@ -496,6 +499,7 @@ class Ingest:
         for table in OPS:
             self.store.clear(f"ops/{table}")
         self.store.clear("index")
+        self._indexes.clear()
 
     # -- after the batches -----------------------------------------------------------
     def mart(self, reference: Mapping, **options) -> Mart:
