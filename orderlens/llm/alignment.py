@@ -20,7 +20,6 @@ An empty table gives no rows. Columns other than `doc_id` and `text` are not rea
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -38,13 +37,13 @@ from orderlens.session import cut_lineage
 _PIECE_BYTES = 2_000_000
 _BLOCK_BYTES = 24_000_000
 #: Windows remembered by a worker, beyond which it starts anew. It bounds memory, not results.
-_REMEMBERED = 600_000
-_MANY = 64
+_REMEMBERED = 400_000
+_MANY = 4_096
 
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 ALIGNED = (
     "block string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
-    " at array<int>, times array<int>, pairs array<long>, docs array<int>"
+    " at array<int>, times array<long>, pairs array<long>, docs array<int>"
 )
 COUNTED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -66,14 +65,13 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.bytes_a, self.bytes_b = self._spelled_a(), self._spelled_b()
         self.len_a, self.len_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
-        self.length_a, self.length_b = self.len_a.tolist(), self.len_b.tolist()
         self.spaced_a = np.array([x.startswith(b" ") for x in self.bytes_a])
         self.spaced_b = np.array([x.startswith(b" ") for x in self.bytes_b])
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(spaced.MARK in n.lstrip(spaced.MARK) for n in names):
             raise ValueError("a piece reaches across a space")
         self.ids_a, self.ids_b, self.spelled = (spaced.Ragged(t) for t in (np.int32, np.int32, np.bool_))
-        self.parts = spaced.Parts(self._learn, self._forget)
+        self.parts = spaced.Parts(self._learn, self._forget, _REMEMBERED)
 
     def _spelled_a(self) -> list[bytes]:
         """The bytes of each A id: the byte-level alphabet shows printable bytes as themselves."""
@@ -133,6 +131,9 @@ class Windows:
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
+        # ids in decimal with what follows them: more of their group, or its end
+        self.written = [f"{i}{c}" for i in range(len(tokenizers.len_a)) for c in ",|"]
+        self.written += [f"{i}{c}" for i in range(len(tokenizers.len_b)) for c in ",;"]
         self.clear()
 
     def clear(self):
@@ -141,66 +142,89 @@ class Windows:
         self.pair_number: dict[int, int] = {}
         self.pair: list[int] = []  # A id above, B id in the lower 32 bits
         self.n_groups, self.n_links = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.linked, self.times = spaced.Ragged(np.int64), spaced.Ragged(np.int64)
+        self.linked, self.times = spaced.Ragged(np.int32), spaced.Ragged(np.int64)
 
     def full(self) -> bool:
         return len(self.known) > _REMEMBERED or len(self.linked.flat) > 8 * _REMEMBERED
 
-    def _align(self, a: list[int], b: list[int]) -> tuple[str, int, int, list[int], list[int]]:
-        len_a, len_b = self.tokenizers.length_a, self.tokenizers.length_b
-        shown, links, pairs = [], 0, {}
-        from_a = from_b = k = m = 0
-        end_a = end_b = 0
-        while k < len(a) or m < len(b):
-            # the side that is behind takes its next token
-            if end_a <= end_b:
-                end_a += len_a[a[k]]
-                k += 1
-            else:
-                end_b += len_b[b[m]]
-                m += 1
-            if end_a != end_b:
-                continue
-            one, two = a[from_a:k], b[from_b:m]
-            from_a, from_b = k, m
-            shown.append(f"{','.join(map(str, one))}|{','.join(map(str, two))}")
-            links += len(one) * len(two)
-            if len(one) * len(two) > _MANY:  # then ids repeat
-                count_b = Counter(two)
-                for x, n in Counter(one).items():
-                    for y, n_b in count_b.items():
-                        pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + n * n_b
-                continue
-            for x in one:
-                for y in two:
-                    pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + 1
-        known, numbers = self.pair_number, []
-        for pair in pairs:
+    def _align(self, keys: list[bytes]):
+        """Alignments of new windows, many at once."""
+        t = self.tokenizers
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)) // 4)])
+        split = np.flatnonzero(ids < 0)
+        n_a, n_b = split - starts[:-1], starts[1:] - split - 1
+        window = np.repeat(np.arange(len(keys)), np.diff(starts))
+        in_a = np.arange(len(ids)) < split[window]
+        a, b = ids[in_a].astype(np.int64), ids[~in_a & (ids >= 0)].astype(np.int64)
+        # bytes of a window add up to the same in A and B, so offsets may run on
+        end_a, end_b = np.cumsum(t.len_a[a]), np.cumsum(t.len_b[b])
+        to_b = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[to_b] == end_a)  # the last tokens of each group
+        last_b = to_b[last_a]
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        of = np.searchsorted(np.cumsum(n_a), last_a, side="right")
+        n_groups = np.bincount(of, minlength=len(keys))
+        n_links = np.zeros(len(keys), np.int64)
+        np.add.at(n_links, of, size_a * size_b)
+        places, pairs, times = self._pairs(a, b, last_a, last_b, size_a, size_b, of)
+        known = self.pair_number
+        distinct, inverse = np.unique(pairs, return_inverse=True)
+        numbers = []
+        for pair in distinct.tolist():
             at = known.get(pair)
             if at is None:
                 at = known[pair] = len(known)
                 self.pair.append(pair)
             numbers.append(at)
-        return ";".join(shown), len(shown), links, numbers, list(pairs.values())
+        self.linked.add(np.bincount(places, minlength=len(keys)), np.array(numbers, np.int64)[inverse])
+        self.times.add(np.bincount(places, minlength=len(keys)), times)
+        self.n_groups = np.concatenate([self.n_groups, n_groups])
+        self.n_links = np.concatenate([self.n_links, n_links])
+        self.groups += self._shown(a, b, last_a, last_b, size_a, size_b, n_a + n_b)
+
+    def _pairs(self, a, b, last_a, last_b, size_a, size_b, of):
+        """Window, pair and links of the distinct pairs of each window."""
+        big = size_a * size_b > _MANY
+        out = []
+        for g in np.flatnonzero(big):  # ids of a large group repeat, so they are counted first
+            one, n = np.unique(a[last_a[g] + 1 - size_a[g] : last_a[g] + 1], return_counts=True)
+            two, m = np.unique(b[last_b[g] + 1 - size_b[g] : last_b[g] + 1], return_counts=True)
+            pair = (one[:, None] << 32 | two).ravel()
+            out.append((np.full(len(pair), of[g]), pair, np.outer(n, m).ravel()))
+        group = np.repeat(np.arange(len(size_a)), size_a)
+        small = ~big[group]
+        group, left = group[small], a[small]
+        each = size_b[group]
+        run = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        right = b[np.repeat(last_b[group] + 1 - each, each) + run]
+        pair = np.repeat(left, each) << 32 | right
+        out.append((np.repeat(of[group], each), pair, np.ones(len(pair), np.int64)))
+        place, pair, times = (np.concatenate(x) for x in zip(*out))
+        order = np.lexsort((pair, place))
+        place, pair, times = place[order], pair[order], times[order]
+        first = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(pair, prepend=-1) != 0))
+        return place[first], pair[first], np.add.reduceat(times, first)
+
+    def _shown(self, a, b, last_a, last_b, size_a, size_b, tokens) -> list[str]:
+        """Each window's groups as text."""
+        code = np.zeros(len(a) + len(b), np.int64)
+        ends_a, ends_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        ends_a[last_a], ends_b[last_b] = 1, 1
+        code[np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)] = 2 * a + ends_a
+        code[np.arange(len(b)) + np.repeat(last_a + 1, size_b)] = 2 * (len(self.tokenizers.len_a) + b) + ends_b
+        parts = list(map(self.written.__getitem__, code.tolist()))
+        ends = np.cumsum(tokens).tolist()
+        return ["".join(parts[x:y])[:-1] for x, y in zip([0, *ends], ends)]
 
     def number(self, keys: pa.Array) -> np.ndarray:
         """The number of each window, given as its A ids, -1 and its B ids in 32 bits each."""
         coded = keys.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        found = []
-        for key in distinct:
-            if key not in self.known:
-                self.known[key] = len(self.known)
-                ids = memoryview(key).cast("i").tolist()
-                split = ids.index(-1)
-                found.append(self._align(ids[:split], ids[split + 1 :]))
-        if found:
-            groups, n_groups, n_links, linked, times = zip(*found)
-            self.groups += groups
-            self.n_groups = np.concatenate([self.n_groups, n_groups])
-            self.n_links = np.concatenate([self.n_links, n_links])
-            self.linked.add(list(map(len, linked)), list(chain.from_iterable(linked)))
-            self.times.add(list(map(len, times)), list(chain.from_iterable(times)))
+        new = [k for k in distinct if k not in self.known]
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self._align(new)
         at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         return at[coded.indices.to_numpy()]
 
@@ -256,12 +280,12 @@ class Aligner:
         _, times = windows.times.take(at)
         doc = np.repeat(np.arange(len(texts)), np.diff(within[bounds]))
         # one entry per document and pair
-        key = doc * (len(windows.pair) + 1) + linked
+        key = doc * (len(windows.pair) + 1) + linked  # in 64 bits, as `doc` is
         order = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.diff(key[order], prepend=-1))
         summed = np.add.reduceat(times[order], first) if len(first) else times
         held = np.bincount(doc[order][first], minlength=len(texts))
-        return numbers, digests, held, linked[order][first].astype(np.int32), summed.astype(np.int32)
+        return numbers, digests, held, linked[order][first].astype(np.int32), summed
 
 
 def worker_aligner(byte_path: str, piece_path: str) -> Aligner:
@@ -283,7 +307,7 @@ def _block_rows(name: str, done: list, aligner: Aligner) -> Iterator[pa.RecordBa
     pair = np.array(aligner.windows.pair, np.int64)[numbers]
     schema = pa.schema([
         ("block", pa.string()), ("doc_id", pa.int64()), *((n, pa.int64()) for n in _NUMBERS), ("groups_sha256", pa.string()),
-        ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32())),
+        ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32())),
     ])
     head = {"block": [name], "pairs": [pair], "docs": [docs.astype(np.int32)]}
     yield pa.record_batch([pa.array(head.get(f.name, [None]), f.type) for f in schema], schema=schema)
@@ -295,7 +319,7 @@ def _block_rows(name: str, done: list, aligner: Aligner) -> Iterator[pa.RecordBa
             [
                 pa.array([name] * len(ids)), ids, *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()),
                 pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32())),
-                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())), *none,
+                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())), *none,
             ],
             schema=schema,
         )

@@ -27,14 +27,14 @@ class Parts:
     `learn` is called with each list of new parts, `forget` before the numbers start anew.
     """
 
-    def __init__(self, learn: Callable[[list[str]], None], forget: Callable[[], None]):
-        self.learn, self.forget = learn, forget
+    def __init__(self, learn: Callable[[list[str]], None], forget: Callable[[], None], most: int | None = None):
+        self.learn, self.forget, self.most = learn, forget, most or REMEMBERED
         self.known: dict[str, int] = {}
         self.chars = 0
 
     def make_room(self):
         """Starts anew if too much is remembered; numbers given out before are void then."""
-        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+        if len(self.known) > self.most or self.chars > REMEMBERED_CHARS:
             self.known, self.chars = {}, 0
             self.forget()
 
