@@ -378,3 +378,19 @@ def test_few_marked_pages_among_many_teach(spark):
     rows.append((99, "u", "<body><nav><p>Home</p></nav><article><p>One, two.</p></article></body>"))
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r[0] for r in html_extract.lessons(pages, 4).select("label").distinct().collect()} == {0, 1}
+
+
+def test_broadcasts_hold_plain_values():
+    """Workers without this package can read them: nothing is pickled by reference to it."""
+    import pickle
+
+    from orderlens.llm.decontaminate import Items
+    from orderlens.llm.html_extract import Forest
+
+    items = Items([1, 2], [np.arange(9, dtype=np.uint64), np.arange(4, dtype=np.uint64)])
+    forest = Forest([tuple(np.zeros(3, kind) for kind in (int, float, int, int, float))], [1.0])
+    for broadcast in (vars(items), vars(forest)):
+        assert b"orderlens" not in pickle.dumps(broadcast)
+    again = Items.of(pickle.loads(pickle.dumps(vars(items))))
+    assert (again.distinct() == items.distinct()).all() and again.ids == items.ids
+    assert (Forest(**vars(forest)).chance(np.zeros((2, 3))) == forest.chance(np.zeros((2, 3)))).all()
