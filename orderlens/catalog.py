@@ -266,9 +266,9 @@ def _loaded_rows(ingest: Ingest) -> DataFrame:
 
 
 def drip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row that six batches through the cursor and the file indexes leave in the raw tables."""
+    """Every row that three batches through the cursor and the file indexes leave in the raw tables."""
     ingest = new_ingest(spark, sf_dir)
-    _drip_in(ingest, 6)
+    _drip_in(ingest, 3)
     return portable(_loaded_rows(ingest))
 
 

@@ -30,6 +30,8 @@ from orderlens.streaming import rules
 
 SOURCE = "orders_feed"
 _BACKFILL = "children backfill"
+#: Batches that are indexed together.
+_RAW_TAIL = 8
 
 
 @dataclass(frozen=True)
@@ -155,7 +157,10 @@ class Ingest:
         files = {t: source().inputFiles() for t, source in self._landing.items() if t in self._KEYS and self._indexed(t)}
         raw = self._raw_files() if files else {}
         work = {("landed", t): partial(self._index(t).refresh, f, generation) for t, f in files.items()}
-        work |= {("raw", t): partial(self._raw_index(t).refresh, f, generation) for t, f in raw.items()}
+        for table, there in raw.items():
+            new = [f for f in there if f not in self._raw_index(table).known()]
+            if len({f.split("batch_id=")[-1].split("/")[0] for f in new}) >= _RAW_TAIL:
+                work["raw", table] = partial(self._raw_index(table).refresh, new, generation)
         if work:
             at_once(work)
         return files | {f"raw/{t}": f for t, f in raw.items()}
@@ -171,11 +176,15 @@ class Ingest:
         return self._landing[table].only(self._index(table).files_with(keys, files[table]))
 
     def _raw_with(self, table: str, keys: DataFrame, files: Mapping[str, list[str]], done: list[int]) -> DataFrame:
-        """What finished batches loaded, without the files that cannot hold any of the keys."""
+        """What finished batches loaded, without the files that cannot hold any of the keys.
+
+        The files of the last few batches are not indexed yet and always read.
+        """
         if f"raw/{table}" not in files:
             return self.raw(table, done)
-        there = files[f"raw/{table}"]
-        found = self._raw_index(table).files_with(keys, there) if there else []
+        there, index = files[f"raw/{table}"], self._raw_index(table)
+        found = [f for f in there if f not in index.known()]
+        found += index.files_with(keys, there) if there else []
         return read_files(self.spark, RAW[table], f"{self.store.root}/raw/{table}", found)
 
     @property
