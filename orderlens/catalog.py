@@ -29,7 +29,7 @@ from orderlens.session import at_once, shared_dir
 from orderlens.sources import adapters
 from orderlens.sources.file_index import LandedFiles
 from orderlens.sources.landing import aggregate_geolocation, load_landing, row_counts
-from orderlens.sources.schemas import LANDING
+from orderlens.sources.schemas import LANDING, OPS
 from orderlens.streaming import health, late, rules
 from orderlens.streaming.ingest import Cursor, Ingest, next_window
 
@@ -354,6 +354,15 @@ def _batch_report(ingest: Ingest, _: Mart) -> DataFrame:
     return insights.recent_batches(health.pipeline_health(ingest.load_batch())).drop("duration_seconds")
 
 
+def _cursor(ingest: Ingest, _: Mart) -> DataFrame:
+    watermark = ingest.store.read_batches("ops/ingest_watermark", OPS["ingest_watermark"])
+    return health.cursor_report(watermark, ingest.feed)
+
+
+def _reject_log(ingest: Ingest, _: Mart) -> DataFrame:
+    return health.load_errors(ingest.load_errors()).select("batch_id", "source_table", "error_type", "record_key")
+
+
 def _pipeline_metrics(ingest: Ingest, mart: Mart) -> DataFrame:
     names = ["rows_rejected_last_batch", "pipeline_reject_rate", "failed_batches", "data_as_of"]
     return evaluate(mart, names, pipeline=ingest.load_batch())
@@ -476,6 +485,8 @@ def queries() -> dict[str, Query]:
         "rfm_segments": _of(insights.rfm_segments),
         "reject_reasons": _after_drip(lambda ingest, _: insights.reject_reasons(ingest.load_errors())),
         "recent_batches": _after_drip(_batch_report),
+        "ingest_cursor": _after_drip(_cursor),
+        "reject_log": _after_drip(_reject_log),
         # metric layer
         "core_metrics": _metrics(CORE),
         "core_metrics_by_region_year": _metrics(CORE, ["customer_region", "purchase_year"]),

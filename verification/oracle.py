@@ -821,6 +821,22 @@ def oracle_sql() -> dict[str, str]:
                 from ({DQ})"""
         ),
         "dq_checks_after_ingest": dq_after_ingest(),
+        "ingest_cursor": query(
+            f"""select 'orders_feed' as source_name, cast(max(purchase_ts) filter (where k % 109 <> 0) as varchar) as last_purchase_ts,
+                  max_by(order_id, (purchase_ts, order_id)) filter (where k % 109 <> 0) as last_order_id,
+                  count(*) filter (where k % 109 <> 0) as orders_ingested, 0::bigint as orders_waiting,
+                  count(*) filter (where k % 109 = 0) as orders_unreadable,
+                  {pct("count(*) filter (where k % 109 <> 0)", "count(*)", 2)} as ingested_pct
+                from src_orders"""
+        ),
+        "reject_log": query(
+            f"""select 1::bigint as batch_id, 'seed.orders' as source_table, {ORDER_VERDICT} as error_type, order_id as record_key
+                from src_orders where not {GOOD}
+                union all select 1, 'seed.order_items', {ITEM_VERDICT}, order_id || '#' || order_item_id
+                from src_items where {GOOD} and {ITEM_VERDICT} <> 'ok'
+                union all select 1, 'seed.order_reviews', {REVIEW_VERDICT}, review_id
+                from src_reviews where {GOOD} and {REVIEW_VERDICT} <> 'ok'"""
+        ),
         "rls_static": query(
             """select customer_state, cast(sum(item_total) as double) as revenue, count(*) as items
                from bi_sales where customer_region = 'ASIA' group by 1"""
