@@ -200,9 +200,9 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def new_ingest(spark: SparkSession, sf_dir: str, **only: str) -> Ingest:
+def new_ingest(spark: SparkSession, sf_dir: str, indexed: bool = True, **only: str) -> Ingest:
     folder = f"{shared_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    return Ingest(spark, folder, land(spark, sf_dir, folder, **only))
+    return Ingest(spark, folder, land(spark, sf_dir, folder, **only), indexed)
 
 
 def _drip_in(ingest: Ingest, batches: int) -> None:

@@ -130,11 +130,14 @@ class Ingest:
         spark: SparkSession,
         root: str,
         landing: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        indexed: bool = True,
     ):
+        """`indexed=False` keeps no index: for bulk loads, whose batches open most files anyway."""
         self.spark = spark
         self.store = TableStore(spark, root)
         self._landing = dict(landing)
         self._indexes: dict[str, FileIndex] = {}
+        self._use_index = indexed
 
     def landed(self, table: str) -> DataFrame:
         opened = self._landing[table]
@@ -150,7 +153,7 @@ class Ingest:
 
     def _indexed(self, table: str) -> bool:
         source = self._landing.get(table)
-        return isinstance(source, LandedFiles) and (table != "orders" or "purchase_ts" in source().columns)
+        return self._use_index and isinstance(source, LandedFiles) and (table != "orders" or "purchase_ts" in source().columns)
 
     def _refresh_indexes(self, generation: int) -> dict[str, list[str]]:
         """Index files that are new; gives the files that are there, by table."""
