@@ -73,11 +73,8 @@ def prefix_length(n: int) -> int:
     return n - -(-part * n // whole) + 1
 
 
-def _frequency_class(order, first, block, extra) -> np.ndarray:
-    counts = np.add.reduceat(extra[order].astype(np.int64), np.flatnonzero(first))
-    codes = np.empty(len(order), np.uint8)
-    codes[order] = np.floor(np.log2(counts)).astype(np.uint8)[np.cumsum(first) - 1]
-    return codes
+def _frequency_class(hashes, counts, known) -> np.ndarray:
+    return np.floor(np.log2(counts.astype(float))).astype(np.uint8)
 
 
 def _counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,23 +87,22 @@ def _counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     where = np.empty(len(order), np.int64)
     where[order] = np.cumsum(first) - 1
     n = np.diff(np.flatnonzero(first), append=len(order))
-    return ordered[first], where, np.minimum(n, 255).astype(np.uint8)
+    return ordered[first], where, n.astype(np.uint64)
 
 
 def profiles(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """One row per document: its set's size and digest and, where its prefix has shingles that
     other documents may share, those shingles and the set."""
     bounds = blocks.bounds_of(docs, block_bytes)
-    shards = len(bounds) + 1
 
-    def ask(block: int, table: pa.Table) -> pa.Table:
+    def ask(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         distinct, _, n = _counted(shingle_sets(W.whole(table["text"])))
-        return blocks.questions(block, distinct, shards, n)
+        return distinct, n
 
-    def finish(block: int, table: pa.Table, said: pa.Table) -> pa.Table:
+    def finish(block: int, table: pa.Table, said: np.ndarray) -> pa.Table:
         sets = shingle_sets(W.whole(table["text"]))
         _, where, _ = _counted(sets)
-        classes = blocks.heard(said, np.uint8)[where]
+        classes = said[where]
         rows, at = [], 0
         for k, own in enumerate(sets):
             rare = classes[at : at + len(own)]
@@ -121,7 +117,8 @@ def profiles(docs: DataFrame, block_bytes: int = blocks.BLOCK_BYTES) -> DataFram
         columns.append(pa.array(own, pa.binary()))
         return pa.table(columns, names=names)
 
-    return blocks.exchange(blocks.packed(docs, bounds), ask, _frequency_class, finish, PROFILE)
+    packed = blocks.packed(docs, bounds)
+    return blocks.exchange(packed, len(bounds) + 1, ask, np.uint8, _frequency_class, finish, PROFILE)
 
 
 def _profile(own: np.ndarray, rare: np.ndarray) -> tuple:

@@ -6,7 +6,8 @@ repeats the one before it is a mark of its own, and one that repeats it again is
 so runs of one word are as unlikely as they should be. The grams of trusted documents (quality
 label 1) are counted per block, summed by gram, and turned into discounted probabilities and
 backoff weights of all orders. A Bloom filter of fixed size keeps most other documents out of
-that shuffle; what it lets through is told apart inside the block. The model is never sent around whole: each block asks the shards of `blocks` for the
+that shuffle; what it lets through is told apart inside the block. The model is never sent around
+whole: each block asks the shards of `blocks` for the
 distinct grams its own text has, and the counts meet the questions shard by shard.
 
 A document is accepted while its log perplexity per character is at most its language's
@@ -76,83 +77,70 @@ _CHANCE = np.exp(np.arange(65_536) / FINE + LEAST)
 _CHANCE[0] = 0.0
 
 
+def _points(words: pa.Array) -> np.ndarray:
+    """Code points of the words, each followed by one more."""
+    if not len(words):
+        return np.zeros(0, np.uint32)
+    bounds = pa.array([0, len(words)], pa.int64())
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(bounds, words), pa.scalar(END, words.type))
+    return np.frombuffer((joined[0].as_py() + END).encode("utf-32-le"), "<u4").copy()
+
+
+def _gram_hashes(points: np.ndarray, step: int = 2**17) -> np.ndarray:
+    """A hash of each ORDER neighbouring code points, a stretch at a time to stay in cache."""
+    out = np.empty(max(0, len(points) - ORDER + 1), np.uint64)
+    for begin in range(0, len(out), step):
+        own = points[begin : begin + step + ORDER - 1].astype(np.uint64)
+        size = len(own) - ORDER + 1
+        hashed = np.zeros(size, np.uint64)
+        for k in range(0, ORDER, 3):  # three code points fit in 63 bits
+            packed = np.zeros(size, np.uint64)
+            for j in range(k, min(k + 3, ORDER)):
+                packed = packed << np.uint64(21) | own[j : j + size]
+            hashed = W.mixed((hashed + packed) * _SALT[1])
+        out[begin : begin + size] = hashed
+    return out
+
+
 class Text:
-    """Documents as distinct words, each after the symbols before it, and their grams.
+    """Documents as one row of symbols, and the distinct grams that end at them.
 
-    With `across`, those symbols are the end of the text so far; without, all are start marks.
+    Each document is led in by start marks, which are not predicted.
     """
 
-    def __init__(self, texts: pa.Array, across: bool = True):
-        self.begins, flat = W.split(texts)
-        hashes = W.hashed(flat)
-        again = np.zeros(len(hashes), bool)
-        again[1:] = hashes[1:] == hashes[:-1]
-        again[self.begins[:-1][np.diff(self.begins) > 0]] = False
-        coded = flat.dictionary_encode() if len(flat) else pa.array([""], pa.large_string()).dictionary_encode()
-        distinct = pa.concat_arrays([coded.dictionary, pa.array([REPEAT, RUN], coded.dictionary.type)])
+    def __init__(self, texts: pa.Array):
+        begins, flat = W.split(texts)
+        n, docs = len(flat), len(begins) - 1
+        again = np.zeros(n, bool)
+        again[1:] = pc.equal(flat.slice(1), flat.slice(0, max(0, n - 1))).to_numpy(zero_copy_only=False)
+        again[begins[:-1][np.diff(begins) > 0]] = False
         run = again.copy()
         run[1:] &= again[:-1]
-        mark = len(coded.dictionary) + run
-        self.word = np.where(again, mark, coded.indices.to_numpy()[: len(flat)])
-        n = pc.utf8_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
-        points = np.frombuffer("".join(distinct.to_pylist()).encode("utf-32-le"), "<u4").copy()
-        points[: len(points) - 2][points[:-2] <= ord(ODD)] = ord(ODD)  # all but the two marks
-        before = np.full((len(n), ORDER - 1), ord(START), np.uint32)
-        if across and len(self.word):
-            before, n, points = self._in_context(n, points)
-        self.size = n + 1
-        stops = np.cumsum(n + ORDER)
-        padded = np.full(int(stops[-1]), ord(START), np.uint32)
-        padded[stops - 1] = ord(END)
-        first = np.repeat(stops - n - 1, n) - np.repeat(np.cumsum(n) - n, n)
-        padded[first + np.arange(len(points))] = points
-        for k in range(1, ORDER):
-            padded[stops - 1 - n - k] = before[:, ORDER - 1 - k]
-        # where a character or end mark is predicted
-        inside = np.repeat(stops - self.size, self.size) - np.repeat(np.cumsum(self.size) - self.size, self.size)
-        at = inside + np.arange(int(self.size.sum()))
-        size = max(0, len(padded) - ORDER + 1)
-        hashed = keys(*(padded[k : k + size] for k in range(ORDER)))[at - ORDER + 1]
-        order = np.argsort(hashed)
-        ordered = hashed[order]
-        new = np.diff(ordered, prepend=ordered[:1] + np.uint64(1)) != 0
-        self.gram = np.empty(len(order), np.int64)
-        self.gram[order] = np.cumsum(new) - 1
-        first = at[order[new]]
-        self.grams = np.stack([padded[first - ORDER + 1 + k] for k in range(ORDER)], axis=1)
-
-    def _in_context(self, n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words become distinct pairs of the ORDER - 1 symbols before a word and the word.
-
-        Returns those symbols, and the lengths and characters of the pairs' words.
-        """
-        starts = np.cumsum(n) - n
-        floor = np.repeat(self.begins[:-1], np.diff(self.begins))  # first word of the document
-        at = np.arange(len(self.word)) - 1  # the word that the symbol is in
-        left = np.where(at >= floor, n[self.word[at]], 0)  # its place in that word; n is the end mark
-        symbols = np.full((len(self.word), ORDER - 1), ord(START), np.uint32)
+        lead = begins[:-1] + np.arange(docs)
+        place = np.insert(np.where(again, n, np.arange(n)), begins[:-1], n + 1)
+        words = pa.concat_arrays([flat, pa.array([REPEAT, START * (ORDER - 2)], flat.type)]).take(pa.array(place))
+        stops = np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        points = _points(words)
+        points[points <= ord(ODD)] = ord(ODD)
+        points[stops - 1] = ord(END)
+        for mark, which in ((REPEAT, again & ~run), (RUN, run)):
+            points[stops[np.insert(which, begins[:-1], False)] - 2] = ord(mark)
+        predicted = np.ones(len(points), bool)
         for k in range(1, ORDER):
-            own = self.word[np.maximum(at, 0)]
-            inside = points[np.minimum(starts[own] + left, len(points) - 1)]
-            symbol = np.where(left == n[own], np.uint32(ord(END)), inside)
-            symbols[:, ORDER - 1 - k] = np.where(at >= floor, symbol, np.uint32(ord(START)))
-            left = left - 1
-            past = left < 0
-            at = at - past
-            left = np.where(past, n[self.word[np.maximum(at, 0)]], left)
-        pairs = keys(*symbols.T, self.word.astype(np.uint64))
-        _, chosen, place = np.unique(pairs, return_index=True, return_inverse=True)
-        words = self.word[chosen]
-        n, starts = n[words], starts[words]
-        self.word = place.ravel()
-        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        return symbols[chosen], n, points[np.repeat(starts, n) + within]
-
-    def counts(self, docs: np.ndarray) -> np.ndarray:
-        """Occurrences of each gram in the documents that `docs` marks."""
-        use = np.repeat(docs, np.diff(self.begins))
-        per_word = np.bincount(self.word[use], minlength=len(self.size))
-        return np.bincount(self.gram, np.repeat(per_word, self.size), len(self.grams)).astype(np.int64)
+            points[stops[lead] - k] = ord(START)
+            predicted[stops[lead] - k] = False
+        ends = stops[np.append(lead[1:], len(words)) - 1] if docs else stops
+        self.size = np.diff(ends, prepend=0) - (ORDER - 1)
+        code = pa.array(_gram_hashes(points)[predicted[ORDER - 1 :]]).dictionary_encode()
+        self.gram = code.indices.to_numpy()
+        # codes are given out in the order in which grams appear
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(self.gram), prepend=-1))
+        at = np.flatnonzero(predicted)[first]
+        self.grams = np.stack([points[at - ORDER + 1 + k] for k in range(ORDER)], axis=1)
+
+    def counts(self) -> np.ndarray:
+        """Occurrences of each gram."""
+        return np.bincount(self.gram, minlength=len(self.grams)).astype(np.int64)
 
     def strings(self) -> np.ndarray:
         return self.grams.view(f"<U{ORDER}").ravel()
@@ -176,16 +164,13 @@ class Text:
         for end, context in zip(ends, contexts):
             a = _CHANCE[said["a"][np.searchsorted(asked, end)]]
             chance = a + _CHANCE[said["g"][np.searchsorted(asked, context)]] * chance
-        per_gram = np.log(np.maximum(chance, np.finfo(float).tiny))[self.gram]
-        stops = np.cumsum(self.size)
-        total = np.concatenate([[0.0], np.cumsum(per_gram)])
-        per_word = total[stops] - total[stops - self.size]
-        doc = np.repeat(np.arange(len(self.begins) - 1), np.diff(self.begins))
-        docs = len(self.begins) - 1
-        return (
-            np.bincount(doc, self.size[self.word], docs).astype(np.int64),
-            np.bincount(doc, per_word[self.word], docs),
-        )
+        per_gram = np.log(np.maximum(chance, np.finfo(float).tiny))
+        some = np.flatnonzero(self.size > 0)
+        total = np.zeros(len(self.size))
+        if len(some):
+            begins = np.cumsum(self.size) - self.size
+            total[some] = np.add.reduceat(per_gram[self.gram], begins[some])
+        return self.size, total
 
 
 def trusted_marks(labels: DataFrame, bounds: list[int]) -> DataFrame:
@@ -292,7 +277,7 @@ def model(counted: DataFrame, shards: int) -> DataFrame:
     whole = whole.groupBy("gram").agg(F.max("a").alias("a"), F.max("g").alias("g"))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = blocks.shard_cuts(shards)
+        cuts = blocks.range_cuts(0, shards, shards)
         for batch in batches:
             n = pc.utf8_length(batch.column("gram")).to_numpy(zero_copy_only=False)
             a = pc.fill_null(batch.column("a"), 0.0).to_numpy(zero_copy_only=False)
@@ -317,14 +302,10 @@ def perplexities(
     labels: DataFrame,
     columns: tuple[str, ...] = ("lang",),
     block_bytes: int = BLOCK_BYTES,
-    across: bool = False,
 ) -> DataFrame:
-    """doc_id, `columns`, text if asked for among them, symbols, log_perplexity (null if no symbols).
-
-    `across` carries the context from word to word; without it each word stands by itself.
-    """
+    """doc_id, `columns`, text if asked for among them, symbols, log_perplexity (null if no symbols)."""
     bounds = blocks.bounds_of(docs, block_bytes)
-    shards = len(bounds) + 1
+    fan, levels = blocks.tree(len(bounds) + 1)
     carried = tuple(c for c in columns if c not in ("doc_id", "text"))
     packed = blocks.packed(docs, bounds, carried)
     out = ["doc_id", *columns]
@@ -336,43 +317,33 @@ def perplexities(
         table = blocks.loaded(rows)
         teaches = pc.is_in(table["doc_id"], value_set=marks["doc_id"].combine_chunks())
         # only what teaches is read at all
-        text = Text(W.whole(table["text"].filter(teaches)), across)
-        n = text.counts(np.ones(len(text.begins) - 1, bool))
-        some = np.flatnonzero(n)
-        return W.tidy(pa.table({"gram": pa.array(text.strings()[some].tolist(), pa.string()), "n": pa.array(n[some])}))
+        text = Text(W.whole(table["text"].filter(teaches)))
+        return W.tidy(pa.table({"gram": pa.array(text.strings().tolist(), pa.string()), "n": pa.array(text.counts())}))
 
-    def ask(key, rows):
-        asked = Text(W.whole(blocks.loaded(rows)["text"]), across).questions()
-        return W.tidy(blocks.questions(key[0].as_py(), asked, shards))
+    def ask(table):
+        return Text(W.whole(table["text"])).questions(), None
 
-    def answer(key, rows, known):
-        return _looked_up(rows, known)
-
-    def finish(key, rows, said):
-        table = blocks.loaded(rows)
-        text = Text(W.whole(table["text"]), across)
-        size, total = text.log_probability(text.questions(), blocks.heard(said, _RECORD))
+    def finish(block, table, said):
+        text = Text(W.whole(table["text"]))
+        size, total = text.log_probability(text.questions(), said)
         with np.errstate(divide="ignore", invalid="ignore"):
             rate = np.where(size > 0, -total / size, np.nan)
         made = {c: table[c] for c in out}
         made["symbols"] = pa.array(size)
         made["log_perplexity"] = pa.array(rate, mask=size == 0)
-        return W.tidy(pa.table(made))
+        return pa.table(made)
 
     marks = cut_lineage(trusted_marks(labels, bounds))
     lessons = blocks.packed(docs, bounds, wanted=likely(marks.select("doc_id")))
     counted = lessons.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, "gram string, n long")
     counted = cut_lineage(counted.groupBy("gram").agg(F.sum("n").alias("n")))
-    asked = packed.groupBy("block").applyInArrow(ask, blocks.ASKED)
-    answered = asked.groupBy("shard").cogroup(model(counted, shards).groupBy("shard")).applyInArrow(
-        answer, blocks.ANSWERED
-    )
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in out) + ", symbols long, log_perplexity double"
-    return packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)
+    known = model(counted, fan**levels)
+    return blocks.exchange(packed, len(bounds) + 1, ask, _RECORD, _looked_up, finish, schema, known=known)
 
 
-def _looked_up(rows: pa.Table, known: pa.Table) -> pa.Table:
-    """A shard's answers: the model's record for each gram asked for, or that of an unseen one."""
+def _looked_up(asked, extra, known) -> np.ndarray:
+    """The model's record for each gram asked for, or that of an unseen one."""
     own = known["key"].to_numpy().view(np.uint64)
     order = np.argsort(own)
     own = own[order]
@@ -380,13 +351,10 @@ def _looked_up(rows: pa.Table, known: pa.Table) -> pa.Table:
     for name in ("a", "g"):
         record[name][:-1] = known[name].to_numpy()[order]
     record[-1] = (0, coded(np.ones(1))[0])
-    said = []
-    for data in rows["hashes"].to_pylist():
-        asked = blocks.decoded(data)
-        at = np.searchsorted(own, asked)
-        at[at < len(own)] = np.where(own[at[at < len(own)]] == asked[at < len(own)], at[at < len(own)], len(own))
-        said.append(blocks.squeezed(record[at]))
-    return pa.table([rows["block"], rows["shard"], pa.array(said, pa.binary())], names=["block", "shard", "answer"])
+    at = np.searchsorted(own, asked)
+    inside = at < len(own)
+    at[inside] = np.where(own[at[inside]] == asked[inside], at[inside], len(own))
+    return record[at]
 
 
 def thresholds(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
@@ -403,7 +371,7 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, float |
 
 def judged(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("lang",)) -> DataFrame:
     """Rows of `perplexities` with threshold and accepted; `lang` must be among the columns."""
-    scored = cut_lineage(perplexities(docs, labels, columns, across=True))
+    scored = cut_lineage(perplexities(docs, labels, columns))
     by, others = thresholds(scored.select("doc_id", "lang", "log_perplexity"), labels)
     low = F.col("log_perplexity") <= F.col("threshold")
     return (

@@ -2,7 +2,7 @@
 
 Relative Lempel-Ziv parsing against all earlier documents, distributed: blocks of
 neighbouring ids are the reference blocks, and every block is factored against every earlier
-one through the shards of `blocks.exchange`, which hold the windows of all blocks in order of
+one through `blocks.exchange`, whose nodes hold the windows of neighbouring blocks in order of
 their hash. Windows that follow each other and are all known chain up to a factor, so a
 factor is as long as any greedy match could be, across the bounds of the documents it copies;
 windows over the seam of two factors are looked up too, as a seam may hide a match.
@@ -31,11 +31,14 @@ WINDOW = 13
 FIELDS = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
 
 
-def _earlier_block(order, first, block, extra) -> np.ndarray:
-    """1 for entries whose hash an earlier block has."""
-    codes = np.empty(len(order), np.uint8)
-    codes[order] = ~first
-    return codes
+def _unknown(hashes, extra, known) -> np.ndarray:
+    """A shard holds all blocks, so none is earlier than what it holds."""
+    return np.zeros(len(hashes), np.uint8)
+
+
+def _earlier(codes, first) -> np.ndarray:
+    """1 where an earlier block of the same node, or one earlier than all of them, has the hash."""
+    return codes | ~first
 
 
 def dedup(
@@ -49,15 +52,13 @@ def dedup(
     `with_text` adds the kept words, joined by one space, as `kept_text`.
     """
     bounds = blocks.bounds_of(docs, block_bytes)
-    shards = len(bounds) + 1
 
-    def ask(block: int, table: pa.Table) -> pa.Table:
+    def ask(table: pa.Table) -> tuple[np.ndarray, None]:
         begins, flat = W.split(W.whole(table["text"]))
         hashes = np.sort(W.windows(W.hashed(flat), window)[W.inside(begins, window)])
-        distinct = hashes[np.diff(hashes, prepend=hashes[:1] + np.uint64(1)) != 0]
-        return blocks.questions(block, distinct, shards)
+        return hashes[np.diff(hashes, prepend=hashes[:1] + np.uint64(1)) != 0], None
 
-    def finish(block: int, table: pa.Table, said: pa.Table) -> pa.Table:
+    def finish(block: int, table: pa.Table, said: np.ndarray) -> pa.Table:
         begins, flat = W.split(W.whole(table["text"]))
         starts = W.inside(begins, window)
         hashes = W.windows(W.hashed(flat), window)[starts]
@@ -68,14 +69,14 @@ def dedup(
         group = np.cumsum(first) - 1
         ids = W.ids(table["doc_id"])
         owner = ids[np.searchsorted(begins, starts, side="right") - 1][order]
-        known = blocks.heard(said, np.uint8).astype(bool)[group] if len(order) else first
+        known = said.astype(bool)[group] if len(order) else first
         known = known | (owner > owner[np.flatnonzero(first)][group]) if len(order) else first
         gone = _covered(starts[order[known]], window, len(flat))
         return _told(table, begins, flat, gone, with_text)
 
     schema = FIELDS + (", kept_text string" if with_text else "")
     return blocks.exchange(
-        blocks.packed(docs, bounds), ask, _earlier_block, finish, schema
+        blocks.packed(docs, bounds), len(bounds) + 1, ask, np.uint8, _unknown, finish, schema, _earlier
     )
 
 

@@ -8,7 +8,7 @@ import uuid
 
 import pytest
 
-from orderlens.llm import blocks, exact_dedup, ngram_join, substring_dedup
+from orderlens.llm import blocks, exact_dedup, ngram_join, quality, substring_dedup
 from orderlens.llm.components import components
 from orderlens.session import shared_dir
 from tests.conftest import SMALL
@@ -150,3 +150,31 @@ def test_hash_codec():
     values = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
     assert (blocks.decoded(blocks.encoded(values)) == values).all()
     assert len(blocks.decoded(blocks.encoded(values[:0]))) == 0
+
+
+def test_a_tree_of_nodes_is_as_wide_as_it_must_be():
+    for n in (1, 2, 31, 32, 33, 171, 1024, 1025, 10_000, 20_000_000):
+        fan, levels = blocks.tree(n)
+        assert 1 <= fan <= blocks.FAN and fan**levels >= n and (levels == 1 or blocks.FAN ** (levels - 1) < n)
+
+
+def test_exchange_over_many_levels(spark, monkeypatch):
+    """Nodes over nodes give what one level of them gives."""
+    monkeypatch.setattr(blocks, "FAN", 2)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r[0]: tuple(r[1:4]) for r in substring_dedup.dedup(docs, block_bytes=60_000).collect()}
+    assert got == brute.substring(rows)
+    got = {r[0]: tuple(r[1:]) for r in ngram_join.join(docs, 60_000).collect()}
+    assert got == brute.components(rows)
+    known = spark.read.parquet(f"{SMALL}/labels.parquet")
+    whole = {r.doc_id: r.log_perplexity for r in quality.perplexities(docs, known).collect()}
+    for r in quality.perplexities(docs, known, block_bytes=60_000).collect():
+        assert r.log_perplexity == pytest.approx(whole[r.doc_id], rel=1e-6)
+
+
+def test_blocks_are_cut_by_bytes(documents):
+    """Long texts with neighbouring ids do not fall into one block."""
+    docs = documents([(k, "word " * (4_000 if k < 20 else 4)) for k in range(400)])
+    bounds = blocks.bounds_of(docs, 40_000)
+    assert sum(b < 20 for b in bounds) >= 4

@@ -42,20 +42,12 @@ N = quality.ORDER
 
 
 def kneser_ney(texts):
-    """Log probability per symbol by the textbook, over dictionaries."""
-
-    def words(text):
-        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-        again = [k > 0 and w[k] == w[k - 1] for k in range(len(w))]
-        return [
-            x if not again[k] else "\x05" if again[k - 1] else "\x01" for k, x in enumerate(w)
-        ]
+    """Log probability per symbol by the textbook, over dictionaries, of streams of symbols."""
 
     def grams(text):
-        for w in words(text):
-            s = "\x02" * (N - 1) + w + "\x03"
-            for k in range(N - 1, len(s)):
-                yield s[k - N + 1 : k + 1]
+        s = "\x02" * (N - 1) + text + "\x03" if text else ""
+        for k in range(N - 1, len(s)):
+            yield s[k - N + 1 : k + 1]
 
     tables = {N: Counter(g for t in texts for g in grams(t))}
     for k in range(N - 1, 0, -1):
@@ -66,8 +58,8 @@ def kneser_ney(texts):
     discounts = {}
     for k, t in tables.items():
         n = [sum(v == i for v in t.values()) for i in range(5)]
-        y = n[1] / (n[1] + 2 * n[2])
-        d = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] else i / 2 for i in (1, 2, 3)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else None
+        d = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] and n[1] + n[2] else i / 2 for i in (1, 2, 3)]
         discounts[k] = [max(0.1, min(i - 0.1, x)) for i, x in zip((1, 2, 3), d)]
     contexts = {k: defaultdict(lambda: [0, 0.0]) for k in tables}
     for k, t in tables.items():
@@ -94,37 +86,50 @@ def kneser_ney(texts):
     return rate
 
 
-@pytest.mark.parametrize("block_bytes", [20_000, 16_000_000])
-def test_quality_equals_the_textbook(spark, block_bytes):
-    docs, known = table(spark, "documents"), table(spark, "labels")
-    teachers = quality.trusted(known).where(~quality.held_out(F.col("doc_id"))).select("doc_id")
-    rate = kneser_ney([r.text for r in docs.join(teachers, "doc_id").select("text").collect()])
-    scored = quality.perplexities(docs, known, block_bytes=block_bytes).collect()
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    assert len(scored) == len(texts)
-    for r in scored[::7]:
-        assert r.log_perplexity == pytest.approx(rate(texts[r.doc_id]), rel=1e-3)
-
-
 def stream(text):
-    """All words of a text after one another, as `kneser_ney` reads a single word."""
+    """The symbols of a text but the last end mark."""
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     again = [k > 0 and w[k] == w[k - 1] for k in range(len(w))]
     marks = [x if not again[k] else "\x05" if again[k - 1] else "\x01" for k, x in enumerate(w)]
     return "\x03".join(marks)
 
 
-def test_quality_across_words_equals_the_textbook(spark):
+@pytest.mark.parametrize("block_bytes", [20_000, 16_000_000])
+def test_quality_equals_the_textbook(spark, block_bytes):
     docs, known = table(spark, "documents"), table(spark, "labels")
     teachers = quality.trusted(known).where(~quality.held_out(F.col("doc_id"))).select("doc_id")
     rate = kneser_ney([stream(r.text) for r in docs.join(teachers, "doc_id").select("text").collect()])
-    scored = quality.perplexities(docs, known, block_bytes=20_000, across=True).collect()
+    scored = quality.perplexities(docs, known, block_bytes=block_bytes).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert len(scored) == len(texts)
     for r in scored[::7]:
         assert r.log_perplexity == pytest.approx(rate(stream(texts[r.doc_id])), rel=1e-3)
 
 
+def test_symbols_of_awkward_texts():
+    texts = ["", "a a a a b", "\x01 \x03x \x01", " \t ", "\u65e5\u672c \u65e5\u672c \u65e5\u672c e\u0301", "", "a"]
+    found = quality.Text(pa.array(texts, pa.large_string()))
+    counted, sizes = Counter(), []
+    for text in texts:
+        w = [re.sub("[\x01-\x06]", "\x06", x) for x in re.findall(r"[^\x20\x09-\x0D]+", text)]
+        again = [k > 0 and w[k] == w[k - 1] for k in range(len(w))]
+        marks = [x if not again[k] else "\x05" if again[k - 1] else "\x01" for k, x in enumerate(w)]
+        s = "\x02" * (N - 1) + "".join(x + "\x03" for x in marks)
+        sizes.append(len(s) - N + 1)
+        counted.update(s[k - N + 1 : k + 1] for k in range(N - 1, len(s)))
+    assert dict(zip(found.strings().tolist(), found.counts().tolist())) == dict(counted)
+    assert found.size.tolist() == sizes
+
+
+def test_an_unseen_symbol_after_a_start_is_as_unlikely_as_it_is(spark, documents):
+    rows = [(k, "abc abd abe") for k in range(20)] + [(100, "\u00e9\u00e8\u00ea")]
+    known = labels(spark, [(k, 1) for k in range(20)], "quality")
+    teachers = [r.doc_id for r in known.where(~quality.held_out(F.col("doc_id"))).collect()]
+    rate = kneser_ney([stream(rows[0][1])] * len(teachers))
+    found = {r.doc_id: r for r in quality.perplexities(documents(rows), known).collect()}
+    assert found[100].log_perplexity == pytest.approx(rate(stream(rows[-1][1])), rel=1e-3)
+
+
 def test_usual_words_in_the_wrong_order_are_less_likely(spark, documents):
     words = [f"{'abcdefgh'[k % 8]}{'xyz'[k % 3]}" for k in range(24)]
     turned = " ".join(words[::-1])
