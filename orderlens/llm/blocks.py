@@ -91,7 +91,7 @@ def dumped(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as out:
         out.write_table(table.combine_chunks())
-    return zstandard.ZstdCompressor(3).compress(sink.getvalue())
+    return zstandard.ZstdCompressor(6).compress(sink.getvalue())
 
 
 def loaded(rows: pa.Table) -> pa.Table:

@@ -44,6 +44,8 @@ ENOUGH = 30
 #: One trusted document in so many is held out of training, for the thresholds.
 HELD_OUT = 8
 BLOOM_BITS = 24
+#: Bits of one bitmap of Spark's.
+PART_BITS = 32_768
 BLOCK_BYTES = 8_000_000
 START, END, REPEAT, RUN, ODD = "\x02", "\x03", "\x01", "\x05", "\x06"
 #: Probabilities travel as logarithms in steps of 1 / FINE; 0 stands for none.
@@ -58,13 +60,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def keys(*symbols: np.ndarray, size: int = 0) -> np.ndarray:
-    """A hash per row of columns of code points."""
+    """A hash of 56 bits per row of columns of code points.
+
+    A gram that a model of n grams does not have is taken for one of them with probability
+    n / 2**56; the eight bits left out need not be sent.
+    """
     out = np.full(len(symbols[0]) if symbols else size, _SALT[len(symbols)])
     for column in symbols:
         out *= np.uint64(0x9E3779B97F4A7C15)
         out += column
         out += np.uint64(1)
-    return W.mixed(out)
+    return W.mixed(out) & ~np.uint64(255)
 
 
 def coded(chance: np.ndarray) -> np.ndarray:
@@ -193,28 +199,21 @@ def likely(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
         first = W.mixed(ids.astype(np.uint64))
         return np.stack([W.mixed(first + np.uint64(k)) >> np.uint64(64 - BLOOM_BITS) for k in range(3)])
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(2**BLOOM_BITS, bool)
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits[places(W.ids(batch.column("doc_id")))] = True
-        one = pa.array([0], pa.int32())
-        yield pa.record_batch([one, pa.array([blocks.squeezed(np.packbits(bits))])], names=["one", "bits"])
-
-    def merge(rows):
-        whole = np.zeros(2**BLOOM_BITS // 8, np.uint8)
-        for part in rows["bits"]:  # one at a time
-            whole |= blocks.spread(part.as_py(), np.uint8)
-        return pa.table({"bits": pa.array([blocks.squeezed(whole)], pa.binary())})
-
-    row = ids.mapInArrow(fill, "one int, bits binary").groupBy("one").applyInArrow(merge, "bits binary").first()
-    empty = np.zeros(2**BLOOM_BITS // 8, np.uint8)
-    data = blocks.squeezed(empty) if row is None else bytes(row[0])
-    shared = ids.sparkSession.sparkContext.broadcast(data)  # of fixed size
+            at = places(W.ids(batch.column("doc_id"))).ravel().astype(np.int64)
+            yield pa.record_batch([pa.array(at // PART_BITS), pa.array(at % PART_BITS)], names=["part", "bit"])
+
+    parts = ids.mapInArrow(bits, "part long, bit long").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    whole = np.zeros((2**BLOOM_BITS // PART_BITS, PART_BITS // 8), np.uint8)
+    for part, data in parts.collect():  # at most all parts, of fixed size
+        whole[part] = np.frombuffer(data, np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(blocks.squeezed(whole))
     opened: list[np.ndarray] = []
 
     def wanted(ids: np.ndarray) -> np.ndarray:
         if not opened:
-            opened.append(np.unpackbits(blocks.spread(shared.value, np.uint8)).astype(bool))
+            opened.append(np.unpackbits(blocks.spread(shared.value, np.uint8), bitorder="little").astype(bool))
         return opened[0][places(ids)].all(axis=0)
 
     return wanted
@@ -227,54 +226,55 @@ def trusted(labels: DataFrame) -> DataFrame:
     ).where("quality = 1")
 
 
-def grams_of_order(longer: DataFrame) -> DataFrame:
-    """Counts of the grams one shorter: of what different symbols they follow, or, where only
-    start marks can come before, of how often they occur."""
-    tail = F.substring("gram", 2, ORDER)
-    return longer.groupBy(tail.alias("gram")).agg(
-        F.when(F.max(F.substring("gram", 2, 1)) == START, F.sum("n")).otherwise(F.count(F.lit(1))).alias("n")
-    )
+def all_orders(counted: DataFrame) -> DataFrame:
+    """(gram, n) of all orders from the counts of the highest, one row per gram.
+
+    Below the highest order n tells what different symbols a gram follows, or, where only start
+    marks can come before it, how often it occurs.
+    """
+    ends = F.array(*(F.substring("gram", ORDER + 1 - k, k) for k in range(1, ORDER + 1)))
+    whole = counted.select(F.explode(ends).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("total"))
+    # a gram is also one symbol before the gram that it ends in
+    own = F.struct("gram", "total", F.lit(0).cast("long").alias("before"))
+    tail = F.struct(F.substring("gram", 2, ORDER).alias("gram"), F.lit(0).cast("long").alias("total"), F.lit(1).cast("long").alias("before"))
+    both = whole.select(F.inline(F.array(own, tail))).where("gram != ''")
+    summed = both.groupBy("gram").agg(F.sum("total").alias("total"), F.sum("before").alias("before"))
+    occurs = (F.length("gram") == ORDER) | F.col("gram").startswith(START)
+    return summed.select("gram", F.when(occurs, F.col("total")).otherwise(F.col("before")).alias("n"))
 
 
 def model(counted: DataFrame, shards: int) -> DataFrame:
     """Rows of MODEL from the counts (gram, n) of the highest order, one row per gram."""
-    grams = {ORDER: counted}
-    for k in range(ORDER - 1, 0, -1):
-        grams[k] = grams_of_order(grams[k + 1])
-    parts = []
-    for k, table in grams.items():
-        of = lambda i: F.sum((F.col("n") == i).cast("long"))
-        # one row per order
-        rates = table.agg(*(of(i).alias(f"n{i}") for i in (1, 2, 3, 4)), F.count(F.lit(1)).alias("types"))
-        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
-        rates = rates.select(
-            F.lit(1).alias("one"),
-            *(
-                F.greatest(F.lit(0.1), F.least(F.lit(i - 0.1), F.coalesce(
-                    i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0)), F.lit(i / 2)
-                ))).alias(f"d{i}") for i in (1, 2, 3)
-            ),
-            "types",
-        )
-        rated = table.withColumn("one", F.lit(1)).join(F.broadcast(rates), "one")
-        discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rated = rated.withColumn("discount", discount).withColumn("context", F.substring("gram", 1, k - 1))
-        contexts = rated.groupBy("context").agg(
-            F.sum("n").alias("total"), F.sum("discount").alias("left"), F.max("types").alias("types")
-        )
-        share = F.col("left") / F.col("total")
-        # below the first order lies the uniform distribution, one symbol more than seen
-        share = share / (F.col("types") + 1) if k == 1 else share
-        parts.append(
-            rated.join(contexts.select("context", "total"), "context").select(
-                "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("a"), F.lit(None).cast("double").alias("g")
-            )
-        )
-        parts.append(contexts.select(F.col("context").alias("gram"), F.lit(None).cast("double").alias("a"), share.alias("g")))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    whole = whole.groupBy("gram").agg(F.max("a").alias("a"), F.max("g").alias("g"))
+    table = cut_lineage(all_orders(counted)).withColumn("k", F.length("gram"))
+    of = lambda i: F.sum((F.col("n") == i).cast("long"))
+    # one row per order
+    rates = table.groupBy("k").agg(*(of(i).alias(f"n{i}") for i in (1, 2, 3, 4)), F.count(F.lit(1)).alias("types"))
+    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
+    rates = rates.select(
+        "k",
+        *(
+            F.greatest(F.lit(0.1), F.least(F.lit(i - 0.1), F.coalesce(
+                i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0)), F.lit(i / 2)
+            ))).alias(f"d{i}") for i in (1, 2, 3)
+        ),
+        "types",
+    )
+    discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    rated = table.join(F.broadcast(rates), "k").select(
+        "gram", "n", "k", "types", discount.alias("discount"), F.expr("substring(gram, 1, k - 1)").alias("context")
+    )
+    contexts = rated.groupBy("context").agg(
+        F.sum("n").alias("total"), F.sum("discount").alias("left"), F.max("types").alias("types")
+    )
+    share = F.col("left") / F.col("total")
+    # below the first order lies the uniform distribution, one symbol more than seen
+    share = F.when(F.col("context") == "", share / (F.col("types") + 1)).otherwise(share)
+    none = F.lit(None).cast("double")
+    likely_ends = rated.join(contexts.select("context", "total"), "context").select(
+        "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("a"), none.alias("g")
+    )
+    backoffs = contexts.select(F.col("context").alias("gram"), none.alias("a"), share.alias("g"))
+    whole = likely_ends.unionByName(backoffs).groupBy("gram").agg(F.max("a").alias("a"), F.max("g").alias("g"))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = blocks.range_cuts(0, shards, shards)
