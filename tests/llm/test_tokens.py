@@ -133,3 +133,21 @@ def test_registered_counts_equal_the_library(spark):
         want[r.source, r.lang] = (n + 1, total + len(t.encode(r.text or "", add_special_tokens=False).ids))
     got = {(r.source, r.lang): (r.documents, r.tokens) for r in op7_token_counts(spark, SMALL).collect()}
     assert got == want
+
+
+def test_words_are_remembered_without_case_and_the_signs_behind_them():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    fresh = tokens.WordEncoder(tokenizer_path())
+    texts = ["Word word, WORD... 'word' word's", "word7! word-word, (word)", "", "... , H̱! Ẅ, İ. é, …! ..."]
+    bounds, ids = fresh.encode(pa.array(texts, pa.large_string()))
+    whole = Tokenizer.from_file(tokenizer_path())
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
+        whole.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert {"Word", "WORD...", "word,"}.isdisjoint(fresh.known)
+    assert {"word", ",", "...", "'word", "word's", "word7", "(word", "…!"} <= fresh.known.keys()
+    assert fresh.counts(pa.array(["A <|EndOfText|> b.", "b."], pa.large_string())).tolist() == [
+        len(whole.encode(t, add_special_tokens=False).ids) for t in ("A <|EndOfText|> b.", "b.")
+    ]
