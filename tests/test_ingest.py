@@ -273,3 +273,33 @@ def test_csv_landing(spark, tmp_path):
     assert tables["orders"].count() == 2 and tables["geolocation"].first().zip_code_prefix == "00001"
     assert tables["orders"].filter("purchase_ts is not null").first().purchase_month == "2017-05"
     assert tables["orders"].filter(F.col("purchase_ts") > "2017-01-01").count() == 1
+
+
+def test_bulk_queries_make_no_index(spark, monkeypatch):
+    from orderlens import catalog
+    from orderlens.sources.file_index import FileIndex
+    from tests.conftest import SMALL
+
+    monkeypatch.setattr(FileIndex, "refresh", lambda *_: pytest.fail("a load that needs every file made an index"))
+    assert catalog.queries()["recent_batches"](spark, SMALL).count() == 2
+
+
+def test_few_jobs_run_side_by_side():
+    import threading
+    import time
+
+    from orderlens.session import at_once
+
+    lock, now, most = threading.Lock(), [0], [0]
+
+    def job():
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.05)
+        with lock:
+            now[0] -= 1
+        return 1
+
+    assert at_once({k: job for k in range(9)}) == {k: 1 for k in range(9)}
+    assert 1 < most[0] <= 4
