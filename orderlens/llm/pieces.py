@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ _PIECE_BYTES = 2_000_000
 #: Parts of up to so many characters are merged many at once; both ways merge alike.
 _WIDTHS = (12, 20, 40)
 _NEVER = 1 << 30
-_AT_ONCE = 20_000
+_AT_ONCE = 4_000
 
 
 def marked(part: str) -> str:
@@ -160,6 +161,7 @@ class Agendas:
         self.keys = np.append(np.array(keys, np.int64)[order], np.int64(2**62))
         self.ranks = np.append(np.array(ranks, np.int32)[order], _NEVER).astype(np.int32)
         self.merged = np.append(np.array(merged, np.int64)[order], 0)
+        self._hash()
         self.of_char = np.full(0x110000, -1, np.int64)
         for c, n in number.items():
             if len(c) == 1:
@@ -169,11 +171,35 @@ class Agendas:
         self.ids.append([self.vocabulary.byte_id[b] for b in char.encode()])
         return len(self.ids) - 1
 
+    def _hash(self):
+        """Slots with the places of keys; a key that finds its slot taken goes to the next one."""
+        none = len(self.keys) - 1
+        self.bits = max(10, int(none).bit_length() + 2)
+        self.slots = np.full(2**self.bits, none, np.int32)
+        left = np.arange(none)
+        slot = self._slot(self.keys[:-1])
+        while len(left):
+            free = self.slots[slot] == none
+            self.slots[slot[free]] = left[free]  # the last of several stays
+            more = self.slots[slot] != left
+            left, slot = left[more], slot[more] + 1 & (1 << self.bits) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and place in the table of each pair of symbols; a symbol of -1 is the end."""
         wanted = left << 32 | right
-        at = np.searchsorted(self.keys, wanted)
-        at[self.keys[at] != wanted] = len(self.keys) - 1
+        none = len(self.keys) - 1
+        slot = self._slot(wanted)
+        at = self.slots[slot]
+        other = np.flatnonzero((self.keys[at] != wanted) & (at != none))
+        while len(other):
+            slot[other] = slot[other] + 1 & (1 << self.bits) - 1
+            at[other] = self.slots[slot[other]]
+            found = at[other]
+            other = other[(self.keys[found] != wanted[other]) & (found != none)]
         return self.ranks[at], at
 
     def merge(self, marked: list[str]) -> list[list[int]]:
@@ -224,10 +250,11 @@ class Agendas:
         left_over = symbol >= 0
         flat = symbol[left_over].tolist()
         ids, start = self.ids, 0
+        plain = not flat or max(flat) < self.vocabulary.library.get_piece_size()  # then symbols are ids
         for k, size in zip(rows.tolist(), left_over.sum(axis=1).tolist()):
             found = flat[start : start + size]
             start += size
-            out[k] = [i for s in found for i in ids[s]]
+            out[k] = found if plain else [i for s in found for i in ids[s]]
 
 
 def _one_by_one(error):
@@ -245,28 +272,21 @@ class BatchEncoder:
         self.vocabulary = PieceVocabulary(path)
         self.agendas = Agendas(self.vocabulary)
         self.ids = spaced.Ragged(np.int32)
-        self.written: list[str] = []  # the ids of each part in decimal, joined by commas
-        self.parts = spaced.Parts(self._learn, self._forget)
-
-    def _forget(self):
-        self.ids.clear()
-        self.written.clear()
+        self.parts = spaced.Parts(self._learn, self.ids.clear)
+        self.decimal = pa.array(map(str, range(self.vocabulary.library.get_piece_size())), pa.large_string())
 
     def _learn(self, new: list[str]):
         lists = self.agendas.merge(list(map(marked, new)))
         self.ids.add(list(map(len, lists)), list(chain.from_iterable(lists)))
-        self.written += [",".join(map(str, x)) for x in lists]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Bounds of each text's ids, all ids, and each text's ids in decimal."""
         self.parts.make_room()
-        bounds, at = self.parts.number(texts)
-        written, numbers = self.written, at.tolist()
-        joined = [
-            ",".join([written[n] for n in numbers[a:b]]) for a, b in zip(bounds.tolist(), bounds[1:].tolist())
-        ]
+        bounds, at = self.parts.number_all(texts)
         within, flat = self.ids.take(at)
-        return within[bounds], flat, joined
+        bounds = within[bounds]
+        shown = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), self.decimal.take(pa.array(flat)))
+        return bounds, flat, pc.binary_join(shown, pa.scalar(",", pa.large_string())).to_pylist()
 
 
 def worker_encoder(path: str) -> BatchEncoder:
