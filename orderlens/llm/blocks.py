@@ -66,6 +66,7 @@ def packed(
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.forget_encoders()
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if wanted is not None:
@@ -83,6 +84,7 @@ def packed(
                     [pa.array([block[a]], pa.int64()), pa.array([dumped(table.slice(a, b - a))], pa.binary())],
                     names=["block", "docs"],
                 )
+        W.tidy(None)
 
     return narrow.mapInArrow(pack, PACKED)
 
@@ -96,6 +98,7 @@ def dumped(table: pa.Table) -> bytes:
 
 def loaded(rows: pa.Table) -> pa.Table:
     """The documents of a block in order of id; of equal ids, in order of text."""
+    W.forget_encoders()
     expand = zstandard.ZstdDecompressor()
     parts = [
         pa.ipc.open_stream(expand.decompress(x)).read_all() for x in rows["docs"].to_pylist()
@@ -174,6 +177,7 @@ class Asked:
     """
 
     def __init__(self, rows: pa.Table):
+        W.forget_encoders()
         self.rows = rows.sort_by("child")
         values = np.concatenate([decoded(x) for x in self.rows["hashes"].to_pylist()])
         self.order = np.argsort(values, kind="stable")

@@ -189,6 +189,7 @@ def _without(docs: DataFrame, items: Items) -> DataFrame:
             for k, *_ in _aligned(hashes, items.words, item, low, high):
                 good[doc[k]] = False
             yield piece.filter(pa.array(good))
+        W.tidy(None)
 
     return docs.mapInArrow(keep, docs.schema)
 

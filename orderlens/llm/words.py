@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,22 @@ def tidy(result):
     return result
 
 
+#: Where encoders that live as long as their worker are kept, by library.
+_KEPT = (("tokenizers", "_word_encoders"), ("tokenizers", "_aligners"), ("sentencepiece", "_piece_encoders"))
+
+
+def forget_encoders():
+    """Drops what encoders of an earlier step remember in this worker, for steps that need the room.
+
+    A later step that encodes makes its encoder anew.
+    """
+    for library, name in _KEPT:
+        kept = getattr(sys.modules.get(library), name, None)
+        if kept:
+            kept.clear()
+            tidy(None)
+
+
 def pieces(batch: pa.RecordBatch, most: int = 8_000_000):
     """The batch in slices of at most `most` bytes of text (or one row)."""
     size = np.cumsum(pc.binary_length(whole(batch.column("text"))).to_numpy(zero_copy_only=False).astype(np.int64))

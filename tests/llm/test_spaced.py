@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from orderlens.llm import spaced
+from orderlens.llm import blocks, pieces, spaced, tokens
+from orderlens.llm.queries import tokenizer_path
 
 LETTERS = "ab .\n\t\x1c\x85\xa0     　▁é“»日😀\x00"
 
@@ -35,3 +38,15 @@ def test_a_part_is_looked_up_once_per_batch_and_learnt_once():
     for a, b in zip(first, other.number(texts)):
         assert a.tolist() == b.tolist()
     assert [x.tolist() for x in parts.number_all(texts)] == [x.tolist() for x in first] and len(learnt) == 4
+
+
+def test_blocks_drop_what_encoders_of_an_earlier_step_remember():
+    path, other = tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
+    texts = pa.array(["one two"], pa.large_string())
+    words, parts = tokens.encoder(path), pieces.worker_encoder(other)
+    ids = words.encode(texts)[1].tolist()
+    assert tokens.encoder(path) is words
+    asked = blocks.Asked(blocks.questions(0, 0, 1, np.array([3, 9], np.uint64), None))
+    assert asked.hashes.tolist() == [3, 9]
+    assert tokens.encoder(path) is not words and pieces.worker_encoder(other) is not parts
+    assert tokens.encoder(path).encode(texts)[1].tolist() == ids
