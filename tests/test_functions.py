@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from decimal import Decimal
 from fractions import Fraction
 
@@ -96,3 +97,25 @@ def test_every_segment(spark):
         "New Customers", "Promising", "Needs Attention", "Hibernating", "Lost",
     ]
     assert {rank for rank, _ in got.values()} == set(range(1, 10))
+
+
+def _longest_method(df, capsys) -> int:
+    capsys.readouterr()
+    df.explain("codegen")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)))
+
+
+def test_a_share_in_steps_is_the_share_and_short_enough_to_compile(spark, capsys):
+    values = ["0", "0.01", "-0.01", "3.33", "99999.99", "9999999.99", "10000000", "99999999999.99", None]
+    rows = [(a, p, w) for a in values for p in values for w in values]
+    df = spark.createDataFrame(rows, "a string, p string, w string")
+    df = df.selectExpr("cast(a as decimal(22,2)) a", "cast(p as decimal(13,2)) p", "cast(w as decimal(22,2)) w")
+    df = df.where("coalesce(abs(a * p / nullif(w, 0)), 0) < 1e14")
+    a, p, w = F.col("a"), F.col("p"), F.col("w")
+    made = exact.with_exact_share(df, "share", a, p, w).withColumn("one", exact.exact_share(a, p, w))
+    assert made.where("not share <=> one").count() == 0 and made.where("share is not null").count() > 100
+    assert made.columns == ["a", "p", "w", "share", "one"]
+    table = spark.range(9).selectExpr("cast(id as decimal(22,2)) a", "cast(id as decimal(13,2)) p", "cast(id as decimal(22,2)) w")
+    # the JVM compiles no method of more than 8,000 bytes
+    assert _longest_method(exact.with_exact_share(table, "share", a, p, w), capsys) < 8_000
+    assert _longest_method(table.select(exact.exact_share(a, p, w)), capsys) > 8_000
