@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.operators.skew import SkewPolicy
 from orderlens.plans import analytics, bi, dimensions, staging
 from orderlens.plans.mart import Mart
+from orderlens.plans.metrics import share_of_selection
 from orderlens.sources import adapters
 from orderlens.sources.landing import aggregate_geolocation
 from orderlens.sources.schemas import LANDING
@@ -206,3 +207,24 @@ def test_plans_hold_no_python_and_no_pair_joins(mart):
     for df in (mart.fact_orders, mart.fact_sales, bi.bi_orders(mart), bi.bi_sales(mart), mart.cohort):
         plan = df._jdf.queryExecution().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def _planned(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reports_leave_out_lookups_they_do_not_ask_for(spark):
+    """Sellers, reviews and payments are not read for the revenue of a category."""
+    whole = Mart(adapters.raw_tables(spark, SMALL))
+    tell = ["s_nationkey", "nth#", "boleto"]
+    assert all(name in _planned(whole.bi_sales) for name in tell)
+    revenue = whole.bi_sales.groupBy("product_category").agg(F.sum("item_total"))
+    assert not [name for name in tell if name in _planned(revenue)]
+    regions = whole.bi_orders.groupBy("customer_region").agg(F.count(F.lit(1)))
+    assert not [name for name in [*tell, "l_orderkey"] if name in _planned(regions)]
+
+
+def test_shares_of_a_selection_compute_its_rows_once(spark):
+    shares = share_of_selection(Mart(adapters.raw_tables(spark, SMALL)), "product_category")
+    assert "l_orderkey" not in _planned(shares)
+    assert shares.agg(F.max("cumulative_revenue_pct")).first()[0] == 1
