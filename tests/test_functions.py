@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import bands, casts, dates, exact, text
+from orderlens.plans import analytics
 
 
 def values(spark, column, rows, kind="string"):
@@ -119,3 +120,34 @@ def test_a_share_in_steps_is_the_share_and_short_enough_to_compile(spark, capsys
     # the JVM compiles no method of more than 8,000 bytes
     assert _longest_method(exact.with_exact_share(table, "share", a, p, w), capsys) < 8_000
     assert _longest_method(table.select(exact.exact_share(a, p, w)), capsys) > 8_000
+
+
+def test_ratios_in_steps_are_the_ratios_and_short_enough_to_compile(spark, capsys):
+    values = ["0", "0.01", "-0.01", "3.33", "9999999.99", "1000000000", "99999999999.99", None]
+    df = spark.createDataFrame([(n, d) for n in values for d in values], "n string, d string")
+    df = df.selectExpr("cast(n as decimal(22,2)) n", "cast(d as decimal(22,2)) d")
+    df = df.where("coalesce(abs(n / nullif(d, 0)), 0) < 1e10")
+    n, d = F.col("n"), F.col("d")
+    made = exact.with_exact_ratio(df, "ratio", n * 100, d, 4).withColumn("one", exact.pct(n, d, 4))
+    assert made.where("not ratio <=> one").count() == 0 and made.where("ratio is not null").count() > 30
+    assert made.columns == ["n", "d", "ratio", "one"]
+    counts = spark.range(-20, 20).selectExpr("id n").join(spark.range(-3, 9).selectExpr("id d"))
+    counted = exact.with_count_pct(counts, "share", n, d, 4).withColumn("one", exact.pct(n, d, 4))
+    assert counted.where("not share <=> one").count() == 0 and counted.where("share is not null").count() > 400
+
+
+def test_code_over_people_is_short_enough_to_compile(spark, capsys):
+    orders = spark.range(9).selectExpr(
+        "cast(id as string) customer_unique_id", "true is_valid_sale", "id items_in_order", "date'2020-01-01' purchase_date",
+        *[f"cast(id as decimal(22,2)) {c}" for c in ("order_revenue", "order_freight", "order_total")],
+        "cast(5 as smallint) review_score", "false is_late",
+    )
+    totals = analytics.person_totals(orders)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # plans with stages to come show no code
+    try:
+        # the JVM compiles no method of more than 8,000 bytes
+        assert _longest_method(totals, capsys) < 8_000
+        assert _longest_method(analytics.customer_ltv(totals), capsys) < 8_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
