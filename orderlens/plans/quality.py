@@ -11,6 +11,7 @@ from orderlens.functions.exact import pct
 from orderlens.operators.keyed import absent_from, union_all, up_to_cursor
 from orderlens.operators.series import one_value
 from orderlens.plans.mart import Mart
+from orderlens.session import cut_lineage
 
 PAYMENT_GAP_TOLERANCE = 1
 
@@ -93,11 +94,19 @@ def observations(mart: Mart, ingest: IngestState | None = None) -> DataFrame:
     low, high = one_value(span, F.col("lo")), one_value(span, F.col("hi"))
     item_sum = F.coalesce(F.sum(F.when(valid, F.col("item_total"))), F.lit(0).cast("decimal(22,2)"))
     order_sum = F.coalesce(F.sum(F.when(valid, F.col("order_total"))), F.lit(0).cast("decimal(22,2)"))
-    order_side = one_value(orders.agg(order_sum.alias("t")), F.col("t"))
     gap = F.abs("payment_gap") > PAYMENT_GAP_TOLERANCE
     day = F.col("purchase_date")
     score = F.col("review_score")
     people, ids = F.count_distinct("customer_unique_id"), F.count_distinct("customer_id")
+    # Each fact is computed once: two checks read its one row of sums, or the few columns they need.
+    order_side = cut_lineage(
+        orders.agg(
+            order_sum.alias("total"),
+            _count_if((day < low) | (day > high)).alias("outside"),
+            pct(F.count_if(valid & gap), F.count_if(valid), 2).alias("gap_pct"),
+        )
+    )
+    sales = cut_lineage(sales.select("order_item_key", "product_id", "is_valid_sale", "item_total"))
     item_keys = sales.groupBy("order_item_key").agg(
         every.alias("copies"),
         F.sum(F.when(valid, F.col("item_total"))).alias("item_total"),
@@ -119,15 +128,12 @@ def observations(mart: Mart, ingest: IngestState | None = None) -> DataFrame:
         _observed(
             item_keys,
             ("fact_sales_grain_unique", F.count_if(F.col("copies") > 1)),
-            ("fact_revenue_reconciliation", F.round(F.abs(item_sum - order_side), 2)),
+            ("fact_revenue_reconciliation", F.round(F.abs(item_sum - one_value(order_side, F.col("total"))), 2)),
         ),
         _observed(
-            orders,
-            ("dates_outside_dim_date", _count_if((day < low) | (day > high))),
-            (
-                "orders_with_payment_gap_pct",
-                pct(F.count_if(valid & gap), F.count_if(valid), 2),
-            ),
+            order_side,
+            ("dates_outside_dim_date", F.max("outside")),
+            ("orders_with_payment_gap_pct", F.max("gap_pct")),
         ),
         _observed(raw.order_reviews, ("review_score_out_of_range", _count_if(~score.between(1, 5)))),
         _observed(

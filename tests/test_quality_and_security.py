@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,10 +10,11 @@ from orderlens.plans.mart import Mart
 from orderlens.plans import time_intelligence as over_time
 from orderlens.plans.metrics import STAR_MEASURES, Filters, evaluate
 from orderlens.plans.quality import IngestState, dq_checks
+from orderlens.sources import adapters
 from orderlens.sources.landing import typed_feed
 from orderlens.sources.schemas import LANDING, OPS
 
-from tests.conftest import day, frame, item, order
+from tests.conftest import SMALL, day, frame, item, order
 
 
 def build(raw_of, change=lambda rows: None):
@@ -149,3 +152,10 @@ def test_every_measure_evaluates(spark, raw_of):
     row = evaluate(build(raw_of), list(STAR_MEASURES), pipeline=log).first()
     assert row.rows_rejected_last_batch == 0 and float(row.total_revenue) == 17.0
     assert row.median_customer_ltv == 8.5 and row.avg_days_between_orders == 31.0
+
+
+def test_checks_compute_each_fact_once(spark):
+    checked = dq_checks(Mart(adapters.raw_tables(spark, SMALL)))
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    # the check of raw amounts alone reads the lines again
+    assert len(re.findall(r"Relation \[l_orderkey", plan)) == 1
