@@ -38,6 +38,8 @@ DICTIONARY_BYTES = 64_000
 LEVEL = 3
 PART_BYTES = 24_000_000
 BLOCK_BYTES = 1_000_000
+#: Bytes of text that a worker encodes at once; what that took goes back to the system after each.
+PIECE_BYTES = 8_000_000
 BLOCKS = (
     "part long, seq long, first_id long, last_id long, before long, tokens long, width int, "
     "dictionary string, doc_ids array<long>, n_tokens array<long>, ends array<long>, payload binary"
@@ -54,7 +56,12 @@ def _batches(batch: pa.RecordBatch, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Bounds and ids of a batch's documents, end ids included."""
     texts = W.whole(batch.column("text"))
     bounds, ids = encoder(path).encode(texts)
-    return bounds + np.arange(len(bounds)), np.insert(ids, bounds[1:], END_ID)
+    ends = bounds[1:] + np.arange(len(bounds) - 1)
+    ended = np.full(len(ids) + len(ends), END_ID, ids.dtype)
+    kept = np.ones(len(ended), bool)
+    kept[ends] = False
+    ended[kept] = ids
+    return bounds + np.arange(len(bounds)), ended
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
@@ -65,9 +72,10 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = f"<u{_width(path)}"
-        for batch in batches:
+        for batch in (x for whole in batches for x in W.pieces(whole, PIECE_BYTES)):
             bounds, ids = _batches(batch, path)
             ids = ids.astype(kind)
+            W.tidy(None)
             parts = [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
             one = pa.array([0] * len(parts), pa.int32())
             yield pa.record_batch([one, pa.array(parts, pa.binary())], names=["one", "ids"])
@@ -120,9 +128,10 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, block_bytes: int = BL
             )
             return pa.record_batch([pa.array([v], t) for v, t in zip(row, _BLOCK_KINDS)], names=_BLOCK_NAMES)
 
-        for batch in (x for whole in batches for x in W.pieces(whole)):
+        for batch in (x for whole in batches for x in W.pieces(whole, PIECE_BYTES)):
             bounds, ids = _batches(batch, tokenizer_path)
             ids = ids.astype(f"<u{width}")
+            W.tidy(None)
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
                 ids_.append(doc)
                 counts.append(b - a)

@@ -174,5 +174,9 @@ class WordEncoder:
         begins, at = self._words(texts)
         count = self.count[at]
         total = np.concatenate([[0], np.cumsum(count)])
-        shift = np.repeat(self.start[at] - total[:-1], count)
-        return total[begins], self.flat[shift + np.arange(total[-1])]
+        # places in 32 bits, added up in place: they are the largest arrays a worker makes
+        kind = np.int32 if max(total[-1], len(self.flat)) < 2**31 else np.int64
+        place = np.repeat((self.start[at] - total[:-1]).astype(kind), count)
+        del at, count
+        place += np.arange(total[-1], dtype=kind)
+        return total[begins], self.flat[place]

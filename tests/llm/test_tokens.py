@@ -32,6 +32,21 @@ def test_words_encode_as_whole_texts_do(texts):
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoding_takes_few_bytes_a_token():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["unforgettable misunderstandings 12345 " * 20_000] * 5, pa.large_string())
+    words = tokens.WordEncoder(tokenizer_path())
+    words.encode(texts)
+    tracemalloc.start()
+    _, ids = words.encode(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 20 * len(ids)
+
+
 @pytest.mark.parametrize("block_bytes", [500, 1_000_000])
 def test_store_round_trip(spark, block_bytes):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
