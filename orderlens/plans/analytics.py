@@ -12,7 +12,6 @@ from orderlens.functions.exact import exact_ratio, pct, with_count_pct, with_exa
 from orderlens.operators.cuts import ntiles
 from orderlens.operators.ordering import global_order, ntile_of
 from orderlens.operators.series import densify, one_value
-from orderlens.session import cut_lineage
 
 
 def person_totals(fact_orders: DataFrame) -> DataFrame:
@@ -52,33 +51,52 @@ def person_totals(fact_orders: DataFrame) -> DataFrame:
     )
 
 
+def person_values(fact_orders: DataFrame) -> DataFrame:
+    """What scores and ranks a person, which needs nothing of an order but its date and total."""
+    return (
+        fact_orders.filter("is_valid_sale")
+        .groupBy("customer_unique_id")
+        .agg(
+            F.count(F.lit(1)).alias("total_orders"),
+            F.sum("order_total").cast("decimal(22,2)").alias("lifetime_value"),
+            F.max("purchase_date").alias("last_order_date"),
+        )
+    )
+
+
+#: What the RFM table says of a person without scoring it.
+_SAID_ONLY = ("first_order_date", "avg_order_value", "avg_review_score")
+
+
 def rfm(totals: DataFrame) -> DataFrame:
     """Recency and money are quintiles; frequency is banded, as most people order once.
 
+    `totals` is read several times, so it must be written. It may be `person_values`, without
+    the columns that no score needs; the result then lacks them too.
+
     Ties are broken by person, so the quintiles are the same on every run. They are told by
     their cut points, so people are neither ordered nor moved. "Today" is the last valid
     purchase, which is the latest of the people's last ones.
     """
     today = one_value(totals.agg(F.max("last_order_date").alias("d")), F.col("d"))
+    said = [c for c in _SAID_ONLY if c in totals.columns]
     base = totals.select(
         "customer_unique_id",
-        "first_order_date",
         "last_order_date",
         F.datediff(today, "last_order_date").alias("recency_days"),
         F.col("total_orders").alias("frequency"),
         F.col("lifetime_value").alias("monetary"),
-        "avg_order_value",
-        "avg_review_score",
+        *said,
         bands.frequency_score(F.col("total_orders")).alias("f_score"),
     )
     orders = {"r_score": F.unix_date("last_order_date"), "m_score": F.col("monetary") * 100}
-    scored = ntiles(cut_lineage(base), orders, "customer_unique_id", 5)
+    scored = ntiles(base, orders, "customer_unique_id", 5)
     # Half up: 2.5 becomes 3.
     value = F.call_function("div", F.col("f_score") + F.col("m_score") + F.lit(1), F.lit(2)).cast("int")
     ranked = scored.withColumn("fm_score", value).withColumn(
         "segment_rank", bands.segment_rank(F.col("r_score"), F.col("fm_score"))
     )
-    return ranked.select(
+    names = (
         "customer_unique_id",
         "first_order_date",
         "last_order_date",
@@ -87,6 +105,9 @@ def rfm(totals: DataFrame) -> DataFrame:
         "monetary",
         "avg_order_value",
         "avg_review_score",
+    )
+    return ranked.select(
+        *[c for c in names if c in ranked.columns],
         "r_score",
         "f_score",
         "m_score",
@@ -98,8 +119,8 @@ def rfm(totals: DataFrame) -> DataFrame:
     )
 
 
-def customer_ltv(totals: DataFrame) -> DataFrame:
-    """Observed lifetime value with the person's place on the concentration curve."""
+def ranked_by_value(totals: DataFrame) -> DataFrame:
+    """People with their place on the concentration curve."""
     ranked = global_order(
         totals,
         [F.col("lifetime_value").desc_nulls_first(), F.col("customer_unique_id").asc()],
@@ -107,10 +128,16 @@ def customer_ltv(totals: DataFrame) -> DataFrame:
         running={"_running": "lifetime_value"},
         totals={"_revenue": "lifetime_value"},
         row_count="_people",
-    ).withColumn("ltv_decile", ntile_of(F.col("revenue_rank"), F.col("_people"), 10))
+    )
     running = F.col("_running") * F.lit(100)
     ranked = with_exact_ratio(ranked, "cumulative_revenue_pct", running, F.col("_revenue"), 4)
-    ranked = with_count_pct(ranked, "customer_percentile", F.col("revenue_rank"), F.col("_people"), 4)
+    return with_count_pct(ranked, "customer_percentile", F.col("revenue_rank"), F.col("_people"), 4)
+
+
+def customer_ltv(totals: DataFrame) -> DataFrame:
+    """Observed lifetime value with the person's place on the concentration curve."""
+    ranked = ranked_by_value(totals)
+    ranked = ranked.withColumn("ltv_decile", ntile_of(F.col("revenue_rank"), F.col("_people"), 10))
     return ranked.select(
         "customer_unique_id",
         "total_orders",

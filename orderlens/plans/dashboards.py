@@ -72,7 +72,7 @@ def new_vs_returning(mart, where: Filters | None = None) -> DataFrame:
 def lorenz_curve(mart) -> DataFrame:
     """The concentration curve, one point per percent of customers."""
     return (
-        mart.mv_customer_ltv.groupBy(F.floor("customer_percentile").cast("int").alias("percentile_bin"))
+        mart.concentration_curve.groupBy(F.floor("customer_percentile").cast("int").alias("percentile_bin"))
         .agg(F.max("cumulative_revenue_pct").alias("cumulative_revenue_pct"))
     )
 

@@ -37,8 +37,7 @@ def headline_kpis(mart: Mart) -> DataFrame:
 
 def concentration(mart: Mart, tops: Sequence[int] = (1, 5, 10, 20, 50)) -> DataFrame:
     """Revenue share of the top k % of customers, all cut-offs in one pass."""
-    ltv = mart.mv_customer_ltv
-    shares = ltv.agg(
+    shares = mart.concentration_curve.agg(
         *[
             F.max(F.when(F.col("customer_percentile") <= top, F.col("cumulative_revenue_pct"))).alias(f"_{top}")
             for top in tops

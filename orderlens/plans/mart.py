@@ -211,6 +211,26 @@ class Mart:
     def customer_ltv(self) -> DataFrame:
         return analytics.customer_ltv(self._person_totals)
 
+    @cached_property
+    def rfm_scores(self) -> DataFrame:
+        """RFM, or if no table of it is there yet only its scores, from narrow rows."""
+        stored = self.store is not None and self.store.versions("mv_rfm")
+        if stored or self.__dict__.keys() & {"rfm", "_person_totals"}:
+            return self.mv_rfm
+        return analytics.rfm(cut_lineage(analytics.person_values(self.fact_orders)))
+
+    @cached_property
+    def concentration_curve(self) -> DataFrame:
+        """`cumulative_revenue_pct` by `customer_percentile`: lifetime value, or if no table of it
+        is there yet only what its curve needs, so that people are ordered by narrow rows."""
+        stored = self.store is not None and self.store.versions("mv_customer_ltv")
+        if stored or "customer_ltv" in self.__dict__:
+            curve = self.mv_customer_ltv
+        else:
+            values = analytics.person_values(self.fact_orders)
+            curve = analytics.ranked_by_value(values.select("customer_unique_id", "lifetime_value"))
+        return curve.select("customer_percentile", "cumulative_revenue_pct")
+
     @cached_property
     def category_pareto(self) -> DataFrame:
         sold = self.fact_sales.filter("is_valid_sale")

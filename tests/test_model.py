@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators.skew import SkewPolicy
-from orderlens.plans import analytics, bi, dimensions, staging
+from orderlens.plans import analytics, bi, dimensions, insights, staging
 from orderlens.plans.mart import Mart
 from orderlens.plans.metrics import share_of_selection
 from orderlens.sources import adapters
@@ -169,6 +169,20 @@ def test_hot_keys_change_nothing(spark):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def _same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_the_concentration_curve_needs_no_wide_person_table(spark, mart):
+    narrow = mart.settled("fact_orders")
+    shares = insights.concentration(narrow)
+    assert not narrow.__dict__.keys() & {"_person_totals", "customer_ltv"}
+    whole = Mart(mart.raw)
+    whole.__dict__.update(fact_orders=mart.fact_orders, customer_ltv=mart.customer_ltv)
+    assert _same(shares, insights.concentration(whole))
+    assert _same(narrow.concentration_curve, mart.customer_ltv.select(*narrow.concentration_curve.columns))
+
+
 def test_invariants(mart):
     ltv, rfm, cohort = mart.customer_ltv, mart.rfm, mart.cohort
     people = ltv.count()
