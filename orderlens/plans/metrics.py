@@ -294,6 +294,7 @@ _DATE_PARTS = {
 }
 # What these say about a customer is on the flat table only.
 _FACT_ONLY_UNSAFE = {"customer_state_code"}
+_RFM_SCORES = {"rfm_segment", "segment_rank", "r_score", "f_score", "m_score", "recency_days", "frequency", "monetary"}
 
 
 def dataset(mart: Mart, name: str, columns: Iterable[str], pipeline: DataFrame | None = None) -> DataFrame:
@@ -307,9 +308,18 @@ def dataset(mart: Mart, name: str, columns: Iterable[str], pipeline: DataFrame |
     if name not in _FACTS:
         if name == "customers" and not set(columns) - set(mart.mv_dim_customer.columns):
             return mart.mv_dim_customer
-        table = getattr(mart, _TABLES[name])
-        if name in ("ltv", "rfm") and set(columns) - set(table.columns):
-            # what is said of a person comes from the person's row
+        people = mart.mv_dim_customer if name in ("ltv", "rfm") else None
+        if name == "rfm" and not set(columns) - set(people.columns) - _RFM_SCORES:
+            # measures over this table need its scores and money only
+            table = mart.rfm_scores
+        else:
+            table = getattr(mart, _TABLES[name])
+        missing = set(columns) - set(table.columns)
+        if name in ("ltv", "rfm") and missing:
+            # what is said of a person comes from the person's row; the other person table is
+            # ordered and joined only for columns that it alone has
+            if missing <= set(people.columns):
+                return table.join(people.select("customer_unique_id", *sorted(missing)), "customer_unique_id")
             return mart.bi_customer.filter("total_orders is not null")
         return table
     fact_name, flat_name = _FACTS[name]

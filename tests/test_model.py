@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.operators.skew import SkewPolicy
 from orderlens.plans import analytics, bi, dimensions, insights, staging
 from orderlens.plans.mart import Mart
-from orderlens.plans.metrics import share_of_selection
+from orderlens.plans.metrics import Filters, evaluate, share_of_selection
 from orderlens.sources import adapters
 from orderlens.sources.landing import aggregate_geolocation
 from orderlens.sources.schemas import LANDING
@@ -183,6 +183,19 @@ def test_the_concentration_curve_needs_no_wide_person_table(spark, mart):
     assert _same(narrow.concentration_curve, mart.customer_ltv.select(*narrow.concentration_curve.columns))
 
 
+def test_segments_of_a_place_need_scores_only(spark, mart):
+    narrow = mart.settled("fact_orders", "dim_customer")
+    names, where = ["customers_in_segment", "segment_revenue"], Filters(regions=("ASIA", "EUROPE"))
+    found = evaluate(narrow, names, ["rfm_segment"], where)
+    assert not narrow.__dict__.keys() & {"_person_totals", "customer_ltv", "bi_customer"}
+    people = mart.bi_customer.filter("total_orders is not null and customer_region in ('ASIA', 'EUROPE')")
+    wanted = people.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("customers_in_segment"), F.sum("monetary").alias("segment_revenue")
+    )
+    assert _same(found, wanted)
+    assert _same(narrow.rfm_scores, mart.rfm.select(*narrow.rfm_scores.columns))
+
+
 def test_invariants(mart):
     ltv, rfm, cohort = mart.customer_ltv, mart.rfm, mart.cohort
     people = ltv.count()
