@@ -11,7 +11,8 @@
    component yet, in classes of length. Length, positional and suffix filters (suffixes are
    compared by their counts in eight ranges of the order) thin the candidates, as does the
    number of shingles that only one document has; the second time, bitmaps of the sets bound
-   their difference from below. Each distinct pair is verified once on its whole sets.
+   their difference from below, first for a token's documents of two components as wholes.
+   Each distinct pair is verified once on its whole sets.
 
 Pairs inside one component need no further test, as only membership is returned; no link
 between components is lost. A group of copies therefore costs its size, not its square.
@@ -166,8 +167,7 @@ def may_match(a: str, b: str) -> Column:
 def bitmaps_may_match(a: str, b: str) -> Column:
     """Bits that differ are at most the shingles that only one of the two sets has."""
     n = F.col(f"{a}.n") + F.col(f"{b}.n")
-    bits = lambda k: F.col(f"{a}.bits")[k].bitwiseXOR(F.col(f"{b}.bits")[k])
-    differ = sum((F.bit_count(bits(k)) for k in range(BITS // 64)), F.lit(0))
+    differ = _bits_apart(F.col(f"{a}.bits"), F.col(f"{b}.bits"))
     return differ <= n - overlap(F.col(f"{a}.n"), F.col(f"{b}.n")) * 2
 
 
@@ -220,29 +220,83 @@ def link_components(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, components(links.union(more))
 
 
+def _bits_apart(a: Column, b: Column) -> Column:
+    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(BITS // 64)), F.lit(0))
+
+
+def _may_reach(bits: Column, n: Column, radius: Column) -> Column:
+    """Whether documents at most `radius` bits around `bits` and the lead of group y may be similar:
+    sets of n1 and n2 then differ in at most (n1 + n2) * (whole - part) / (whole + part)."""
+    part, whole = THRESHOLD
+    beyond = _bits_apart(bits, F.col("y.lead")) - radius
+    return beyond * (whole + part) <= (n + F.col("y.n")) * (whole - part)
+
+
+def _near_groups(groups: DataFrame) -> DataFrame:
+    """Pairs of a token's groups (token, step, component, radius, n, lead) between which documents may match.
+
+    `lead` is the bitmap of the component's first document, `radius` how many bits at most the
+    group's differ from it, and `n` the size of the largest set.
+    """
+    named = groups.withColumn("own", F.col("step"))
+    near = named.select(
+        "token",
+        F.explode(F.array(*(F.col("step") + k for k in (-1, 0, 1)))).alias("step"),
+        F.struct("component", "own", "radius", "n", "lead").alias("y"),
+    )
+    return (
+        named.alias("x")
+        .join(near.hint("merge"), ["token", "step"])
+        .where(F.col("x.component") < F.col("y.component"))
+        .where(_may_reach(F.col("x.lead"), F.col("x.n"), F.col("x.radius") + F.col("y.radius")))
+        .select("token", F.col("x.own").alias("step"), F.col("x.component").alias("component"), "y", F.col("y.own").alias("y_step"))
+    )
+
+
 def _untried(met: DataFrame, joined: DataFrame, bits: DataFrame) -> DataFrame:
-    """Candidate pairs that are in different components so far."""
-    known = (
-        met.select("token", "node", "n", "pos", "unique", "cells")
-        .join(joined, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+    """Candidate pairs that are in different components so far.
+
+    A token's documents of one component and class of length are a group. Numbers of bits that
+    differ obey the triangle inequality, so where the bitmaps of two components' first documents
+    are further apart than the bitmaps of the groups' documents are from these, and than similar
+    documents are, no pair between the groups can match. Only pairs of the other groups are made,
+    first with the documents of one that are near enough to the other as a whole.
+    """
+    component = F.coalesce("component", "node").alias("component")
+    placed = bits.join(joined, "node", "left").select("node", component, "bits")
+    first = bits.select(F.col("node").alias("component"), F.col("bits").alias("lead"))
+    placed = cut_lineage(
+        placed.join(first, "component").withColumn("radius", _bits_apart(F.col("bits"), F.col("lead"))).drop("lead")
+    )
+    known = met.select("token", "node", "n", "pos", "unique", "cells").join(
+        placed.select("node", "component", "radius"), "node"
     )
     split = known.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     open_ = cut_lineage(
         known.join(split.where("low < high").select("token").hint("merge"), "token", "left_semi")
-        .join(bits.hint("merge"), "node")
         .withColumn("step", F.floor(F.log(F.col("n")) / float(np.log(LENGTH_BASE))))
     )
-    near = open_.withColumn("step", F.explode(F.array(*(F.col("step") + k for k in (-1, 0, 1)))))
+    groups = cut_lineage(
+        open_.groupBy("token", "step", "component")
+        .agg(F.max("radius").alias("radius"), F.max("n").alias("n"))
+        .join(first.hint("merge"), "component")
+    )
+    of_x = open_.drop("radius").join(bits.hint("merge"), "node")
+    document = F.struct("node", "n", "pos", "unique", "cells", "bits")
+    keys = {"step": "y_step", "component": "y_component"}
+    of_y = of_x.select("token", *[F.col(c).alias(k) for c, k in keys.items()], document.alias("y"))
+    some = (
+        _near_groups(groups)
+        .join(of_x.select("token", *keys, document.alias("x")).hint("merge"), ["token", *keys])
+        .where(_may_reach(F.col("x.bits"), F.col("x.n"), F.col("y.radius")))
+        .select("token", "y_step", F.col("y.component").alias("y_component"), "x")
+    )
     return (
-        open_.alias("x")
-        .join(near.hint("merge").alias("y"), ["token", "step"])
-        .where(F.col("x.component") != F.col("y.component"))
-        .where(F.col("x.node") < F.col("y.node"))
+        some.join(of_y.hint("merge"), ["token", "y_step", "y_component"])
         .where(may_match("x", "y") & bitmaps_may_match("x", "y"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
     )
 

@@ -137,6 +137,33 @@ def test_ngram_join_of_chains_and_limits(documents):
     assert got == brute.components(rows)
 
 
+def test_documents_of_far_components_are_not_compared_one_by_one(documents, monkeypatch):
+    """Families of near copies that share a passage: pairs of families are looked at, not pairs of documents."""
+    import random
+
+    dice = random.Random(4)
+    words = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
+    passage, rows = words(40), []
+    for family in range(4):
+        body = words(200)
+        for copy in range(8):
+            own = list(body)
+            own[dice.randrange(200)] = f"x{family}y{copy}"
+            rows.append((10 * family + copy, " ".join(own + passage * (copy < 2))))
+    seen, near = [], ngram_join._near_groups
+
+    def counted(groups):
+        pairs = near(groups)
+        seen.append((groups.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_near_groups", counted)
+    got = {r[0]: tuple(r[1:]) for r in ngram_join.join(documents(rows)).collect()}
+    assert got == brute.components(rows)
+    ((groups, pairs),) = seen
+    assert groups >= 4 and not pairs
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(101, 140)] + [(7, 7), (1, 0)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
