@@ -169,6 +169,16 @@ def test_hot_keys_change_nothing(spark):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_the_flat_items_are_shuffled_before_they_are_labelled(mart):
+    """Joins of the item fact from the outside in: the calendar's labels move with no shuffle."""
+    plan = mart.bi_sales._jdf.queryExecution().analyzed().toString().splitlines()
+    joins = [next(k for k, line in enumerate(plan) if "Join" in line and f"({on}#" in line) for on in _FLAT_JOINS]
+    assert joins == sorted(joins)
+
+
+_FLAT_JOINS = ("payment_type", "customer_state_code", "purchase_date", "customer_unique_id", "product_id", "seller_id")
+
+
 def _same(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
