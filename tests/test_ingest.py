@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import os
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderlens.plans.quality import DataQualityError
+from orderlens.session import shared_dir
 from orderlens.sources import lookups
 from orderlens.sources.landing import load_landing, read_csv, typed_feed
 from orderlens.sources.schemas import GEOLOCATION, LANDING, RAW
@@ -51,6 +53,18 @@ def errors(ingest):
     return sorted((r.source_table, r.record_key, r.error_type) for r in ingest.load_errors().collect())
 
 
+def test_a_batch_leaves_no_passing_tables(spark, landed, ingest_of):
+    def cuts():
+        return {name for name in os.listdir(shared_dir(spark).removeprefix("file:")) if name.startswith("cut-")}
+
+    before, ingest = cuts(), ingest_of(landed([an_order(1), an_order(2)], order_items=[an_item(1), an_item(2)]))
+    done = ingest.next_batch(1)
+    ingest.arrivals(ingest.feed.filter("order_id = 'o2'"), 0)
+    ingest.backfill_children()
+    assert cuts() == before
+    assert done.rows_loaded == 3 and ingest.raw("order_items").count() == 2
+
+
 def test_every_reject_reason(landed, ingest_of):
     ingest = ingest_of(
         landed(
